@@ -1,11 +1,11 @@
 """Dense surrogate keys without a single-task window.
 
-``row_number().over(Window.orderBy(k))`` moves every row to one task. Here the
-rows are range-partitioned on the ordering columns, numbered inside each
-partition, and shifted by the running total of the earlier partitions' sizes.
-The offsets table has one row per partition (bounded by the shuffle partition
-count), so broadcasting it is safe. Both uses of the numbered rows share one
-exchange (Spark reuses it), so the partition assignment is consistent.
+``row_number().over(Window.orderBy(k))`` moves every row to one task. Here
+rows are spread over ``B`` hash buckets of their ordering columns, numbered
+inside each bucket, and shifted by the running total of the earlier buckets'
+sizes. The offsets table has one row per (group, bucket), bounded by
+``B × groups``, so broadcasting it is safe. Keys are dense and unique; their
+order carries no meaning (like identity values, they only identify).
 """
 
 from __future__ import annotations
@@ -15,28 +15,38 @@ from pyspark.sql import functions as F
 
 
 def dense_index(df: DataFrame, order_cols: list[str], index_col: str,
-                start: Column | int = 1, num_partitions: int | None = None) -> DataFrame:
-    """Add ``index_col`` = start, start+1, … in ``order_cols`` order."""
+                start: Column | int = 1, num_buckets: int | None = None,
+                group_cols: list[str] | None = None) -> DataFrame:
+    """Add ``index_col`` = start, start+1, … (per group when ``group_cols``).
+
+    ``start`` may be a column of the group (e.g. its current maximum key + 1).
+    """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = list(group_cols or [])
     start_col = start if isinstance(start, Column) else F.lit(start)
-    ranged = (df.repartitionByRange(n, *order_cols)
-              .withColumn("_part", F.spark_partition_id()))
-    numbered = ranged.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy("_part").orderBy(*order_cols)))
-    sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    offsets = sizes.withColumn(
-        "_offset",
-        F.coalesce(F.sum("_size").over(
-            Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (numbered.join(F.broadcast(offsets.select("_part", "_offset")), "_part")
+    bucketed = df.withColumn("_b", F.pmod(F.xxhash64(*order_cols), F.lit(n)))
+    numbered = bucketed.withColumn(
+        "_rn", F.row_number().over(Window.partitionBy(*groups, "_b").orderBy(*order_cols)))
+    sizes = numbered.groupBy(*groups, "_b").agg(F.max("_rn").alias("_size"))
+    before = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*groups, "_b",
+                           F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    return (numbered.join(F.broadcast(offsets), [*groups, "_b"])
             .withColumn(index_col, (start_col + F.col("_offset") + F.col("_rn") - 1).cast("int"))
-            .drop("_part", "_rn", "_offset"))
+            .drop("_b", "_rn", "_offset"))
 
 
 def assign_new_keys(current: DataFrame, candidates: DataFrame, natural_key: list[str],
-                    key_col: str) -> DataFrame:
-    """Keys for members of ``candidates`` not yet in ``current``: max key + rank."""
+                    key_col: str, known_max: int | None = None) -> DataFrame:
+    """Keys for members of ``candidates`` not yet in ``current``: max key + rank.
+
+    ``known_max`` skips the scalar subquery when the caller knows the maximum
+    (a freshly seeded dimension).
+    """
     new = candidates.join(current.select(*natural_key), natural_key, "left_anti")
-    max_key = current.select(F.coalesce(F.max(key_col), F.lit(0))).scalar()
-    return dense_index(new, natural_key, key_col, start=max_key + 1)
+    if known_max is not None:
+        start: Column | int = known_max + 1
+    else:
+        start = current.select(F.coalesce(F.max(key_col), F.lit(0))).scalar() + 1
+    return dense_index(new, natural_key, key_col, start=start)

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions.classify import (UNASSIGNED_DISPLAY, UNASSIGNED_UNIQUE, UNKNOWN_CATEGORY,
                                   UNKNOWN_NAME, state_category, type_category)
-from ..operators.keys import assign_new_keys
+from ..operators.keys import dense_index
+from ..sources.store import materialize
 from ..params import DEFAULT, RunParams
 
 
@@ -87,80 +88,142 @@ def _present(c: str):
     return F.col(c).isNotNull() & (F.col(c) != "")
 
 
-def candidates(raw: DataFrame, spec: DimSpec) -> DataFrame:
-    """Distinct members of one dimension found in the staging rows."""
-    if spec is DIM_PROJECT:
-        return raw.filter(_present("project_name")).select("project_name").distinct()
-    if spec is DIM_TYPE:
-        return (raw.filter(_present("work_item_type")).select("work_item_type").distinct()
-                .withColumn("category", type_category(F.col("work_item_type"))))
-    if spec is DIM_STATE:
-        return (raw.filter(_present("state")).select(F.col("state").alias("state_name")).distinct()
-                .withColumn("state_category", state_category(F.col("state_name"))))
-    if spec is DIM_ITERATION:
-        return (raw.filter(_present("iteration_path")).select("iteration_path").distinct()
-                .withColumn("sprint_name", cal.sprint_name(F.col("iteration_path"))))
-    if spec is DIM_AREA:
-        return raw.filter(_present("area_path")).select("area_path").distinct()
-    if spec is DIM_MEMBER:
-        return member_candidates(raw)
-    raise ValueError(spec)
-
-
-def member_rows(raw: DataFrame) -> DataFrame:
-    """(unique_name, display_name, changed_date) for assignees and creators."""
-    def role(name: str, unique: str) -> DataFrame:
-        return raw.filter(_present(name)).select(
-            F.coalesce(F.col(unique), F.col(name)).alias("unique_name"),
-            F.col(name).alias("display_name"), F.col("changed_date"))
-    return role("assigned_to_name", "assigned_to_unique_name").unionByName(
-        role("created_by_name", "created_by_unique_name"))
-
-
-def member_candidates(raw: DataFrame) -> DataFrame:
-    """UNION of assignees and creators; one display name per unique name.
-
-    The source statement fails when one key arrives with two display names; we
-    keep the name of the latest change (ties: the greatest name) instead and
-    report such keys with ``member_conflicts``.
+# --------------------------------------------------------------------------- stacked refresh
+# All six dimensions are refreshed together as one "stacked" table
+# (dim, natural, attr, key): one scan of the staging rows, one partial
+# aggregate, one keyed merge and one dense numbering restarting per dim.
+STACK_SCHEMA = "dim string, natural string, attr string, key int"
+
+
+def stacked_members(raw: DataFrame, specs=ALL_DIMS) -> DataFrame:
+    """(dim, natural, name, ts) for every member mention in the staging rows.
+
+    One narrow projection per dimension (Parquet reads only its columns),
+    unioned. ``name`` is the display name for members, NULL otherwise.
     """
-    return (member_rows(raw).groupBy("unique_name")
-            .agg(F.max_by("display_name", F.struct("changed_date", "display_name"))
-                 .alias("display_name")))
+    null = F.lit(None).cast("string")
+
+    def mention(spec: DimSpec, natural, name, keep_col: str) -> DataFrame:
+        return raw.filter(_present(keep_col)).select(
+            F.lit(spec.name).alias("dim"), natural.alias("natural"), name.alias("name"),
+            F.col("changed_date").alias("ts"))
+    by_dim = {
+        DIM_PROJECT: [mention(DIM_PROJECT, F.col("project_name"), null, "project_name")],
+        DIM_TYPE: [mention(DIM_TYPE, F.col("work_item_type"), null, "work_item_type")],
+        DIM_STATE: [mention(DIM_STATE, F.col("state"), null, "state")],
+        DIM_ITERATION: [mention(DIM_ITERATION, F.col("iteration_path"), null, "iteration_path")],
+        DIM_AREA: [mention(DIM_AREA, F.col("area_path"), null, "area_path")],
+        # members are kept when the *display name* is present (COALESCE keeps '')
+        DIM_MEMBER: [mention(DIM_MEMBER, F.coalesce("assigned_to_unique_name", "assigned_to_name"),
+                             F.col("assigned_to_name"), "assigned_to_name"),
+                     mention(DIM_MEMBER, F.coalesce("created_by_unique_name", "created_by_name"),
+                             F.col("created_by_name"), "created_by_name")],
+    }
+    parts = [df for spec in specs for df in by_dim[spec]]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _derived_attr(dim: Column, natural: Column, name: Column) -> Column:
+    """Attribute of a member, computed once per distinct member."""
+    return (F.when(dim == DIM_TYPE.name, type_category(natural))
+            .when(dim == DIM_STATE.name, state_category(natural))
+            .when(dim == DIM_ITERATION.name, cal.sprint_name(natural))
+            .when(dim == DIM_MEMBER.name, name))
+
+
+def stacked_candidates(raw: DataFrame, specs=ALL_DIMS) -> DataFrame:
+    """Distinct members per dim with their attribute.
+
+    The member display name of the latest change wins (the source statement
+    would fail on two names for one key, see ``member_conflicts``). Two steps
+    keep the heavy part a hash aggregate with map-side combining:
+    (dim, natural, name) → latest change (a hot value, e.g. one project holding
+    a third of the rows, collapses to one row per map task), then the choice
+    among a key's few distinct names.
+    """
+    latest = (stacked_members(raw, specs).groupBy("dim", "natural", "name")
+              .agg(F.max("ts").alias("ts")))
+    chosen = (latest.groupBy("dim", "natural")
+              .agg(F.max_by("name", F.struct("ts", "name")).alias("name")))
+    return chosen.select("dim", "natural",
+                         _derived_attr(F.col("dim"), F.col("natural"), F.col("name")).alias("attr"))
 
 
 def member_conflicts(raw: DataFrame) -> DataFrame:
-    return (member_rows(raw).groupBy("unique_name")
-            .agg(F.count_distinct("display_name").alias("n_display_names"))
-            .filter(F.col("n_display_names") > 1))
+    return (stacked_members(raw, [DIM_MEMBER]).groupBy("natural")
+            .agg(F.count_distinct("name").alias("n_display_names"))
+            .filter(F.col("n_display_names") > 1)
+            .withColumnRenamed("natural", "unique_name"))
 
 
-def seed(spark: SparkSession, spec: DimSpec) -> DataFrame:
-    cols = [spec.key, spec.natural, *spec.attrs]
-    schema = ", ".join([f"{spec.key} int"] + [f"{c} string" for c in cols[1:]])
-    return spark.createDataFrame([(1, *spec.seed)], schema)
+def to_stacked(spec: DimSpec, dim: DataFrame) -> DataFrame:
+    attr = F.col(spec.attrs[0]) if spec.attrs else F.lit(None).cast("string")
+    return dim.select(F.lit(spec.name).alias("dim"), F.col(spec.natural).alias("natural"),
+                      attr.alias("attr"), F.col(spec.key).cast("int").alias("key"))
 
 
-def refresh(spec: DimSpec, current: DataFrame | None, raw: DataFrame) -> DataFrame:
-    """``INSERT … SELECT DISTINCT … ON CONFLICT`` for one dimension."""
+def from_stacked(spec: DimSpec, stacked: DataFrame) -> DataFrame:
+    cols = [F.col("key").alias(spec.key), F.col("natural").alias(spec.natural)]
+    if spec.attrs:
+        cols.append(F.col("attr").alias(spec.attrs[0]))
+    return stacked.filter(F.col("dim") == spec.name).select(*cols)
+
+
+def seeds(spark: SparkSession, specs=ALL_DIMS) -> DataFrame:
+    rows = [(s.name, s.seed[0], s.seed[1] if len(s.seed) > 1 else None, 1) for s in specs]
+    return spark.createDataFrame(rows, STACK_SCHEMA)
+
+
+def refresh_stacked(raw: DataFrame, current: DataFrame | None, specs=ALL_DIMS) -> DataFrame:
+    """``INSERT … SELECT DISTINCT … ON CONFLICT`` for all dims at once."""
     spark = raw.sparkSession
-    cur = current if current is not None else seed(spark, spec)
-    cand = candidates(raw, spec)
-    keyed_new = assign_new_keys(cur, cand, [spec.natural], spec.key)
-    if spec.update_on_conflict:
-        # DO UPDATE: existing members take the incoming attributes
-        upd = cand.select(spec.natural, *[F.col(a).alias(f"_u_{a}") for a in spec.attrs],
-                          F.lit(True).alias("_u"))
-        cur = (cur.join(upd, spec.natural, "left")
-               .select(spec.key, spec.natural,
-                       *[F.when(F.col("_u"), F.col(f"_u_{a}")).otherwise(F.col(a)).alias(a)
-                         for a in spec.attrs]))
-    return cur.unionByName(keyed_new.select(*cur.columns))
+    fresh = current is None
+    cur = seeds(spark, specs) if fresh else current
+    # written once: read by the attribute update, the anti-join and the numbering
+    cand = materialize(stacked_candidates(raw, specs), "dim_candidates")
+    updating = [s.name for s in specs if s.update_on_conflict]
+    # type-1 update of existing members' attribute (DO UPDATE dims only)
+    upd = cand.select("dim", "natural", F.col("attr").alias("_new_attr"), F.lit(True).alias("_hit"))
+    cur = (cur.join(upd, ["dim", "natural"], "left")
+           .select("dim", "natural",
+                   F.when(F.col("_hit") & F.col("dim").isin(updating), F.col("_new_attr"))
+                   .otherwise(F.col("attr")).alias("attr"), "key"))
+    new = cand.join(cur.select("dim", "natural"), ["dim", "natural"], "left_anti")
+    if fresh:
+        start = F.lit(2)
+    else:
+        # one row per dim (bounded by the number of dims)
+        maxes = cur.groupBy("dim").agg((F.max("key") + 1).alias("_start"))
+        new = new.join(F.broadcast(maxes), "dim", "left")
+        start = F.coalesce(F.col("_start"), F.lit(1))
+    keyed = dense_index(new, ["natural"], "key", start=start, group_cols=["dim"])
+    return cur.unionByName(keyed.select("dim", "natural", "attr", "key"))
+
+
+def refresh_all(raw: DataFrame, current: dict[str, DataFrame] | None = None,
+                specs=ALL_DIMS) -> dict[str, DataFrame]:
+    stacked = refresh_stacked(raw, _stack_current(current, specs), specs)
+    return {s.name: from_stacked(s, stacked) for s in specs}
+
+
+def _stack_current(current: dict[str, DataFrame] | None, specs) -> DataFrame | None:
+    if not current:
+        return None
+    spark = next(iter(current.values())).sparkSession
+    parts = [to_stacked(s, current[s.name]) if s.name in current else seeds(spark, [s])
+             for s in specs]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
-def refresh_all(raw: DataFrame, current: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    current = current or {}
-    return {s.name: refresh(s, current.get(s.name), raw) for s in ALL_DIMS}
+def refresh(spec: DimSpec, current: DataFrame | None, raw: DataFrame) -> DataFrame:
+    """Refresh a single dimension."""
+    return refresh_all(raw, {spec.name: current} if current is not None else None, [spec])[spec.name]
 
 
 def data_calendar_bounds(raw: DataFrame) -> tuple[Column, Column]:
@@ -168,10 +231,3 @@ def data_calendar_bounds(raw: DataFrame) -> tuple[Column, Column]:
     lo = raw.select(F.make_date(F.year(F.min("created_date")), F.lit(1), F.lit(1))).scalar()
     hi = raw.select(F.make_date(F.year(F.max("changed_date")), F.lit(12), F.lit(31))).scalar()
     return lo, hi
-
-
-def build_star_dims(raw: DataFrame, params: RunParams = DEFAULT,
-                    current: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    dims = refresh_all(raw, current)
-    dims["dim_date"] = dim_date(raw.sparkSession, params.calendar_start, params.calendar_end)
-    return dims

@@ -83,3 +83,26 @@ def fact_work_items(raw: DataFrame, dims: dict[str, DataFrame],
         "priority", "severity", "tags",
         F.lit(params.as_of).cast("timestamp_ntz").alias("last_transformed_at_utc"),
     )
+
+
+# dimension → (fact key column, natural key column of the dim, output label)
+KEY_LABELS = [
+    ("dim_project", "project_key", "project_key", "project_name", "project_name"),
+    ("dim_work_item_type", "type_key", "type_key", "work_item_type", "work_item_type"),
+    ("dim_state", "state_key", "state_key", "state_name", "state_name"),
+    ("dim_iteration", "iteration_key", "iteration_key", "iteration_path", "iteration_path"),
+    ("dim_area", "area_key", "area_key", "area_path", "area_path"),
+    ("dim_member", "assigned_to_key", "member_key", "unique_name", "assigned_to_unique_name"),
+    ("dim_member", "created_by_key", "member_key", "unique_name", "created_by_unique_name"),
+]
+
+
+def with_natural_keys(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Replace surrogate keys present in ``df`` by the members' natural keys."""
+    out = df
+    for dim, fk, dk, nk, label in KEY_LABELS:
+        if fk not in out.columns:
+            continue
+        d = dims[dim].select(F.col(dk).alias(fk), F.col(nk).alias(label))
+        out = out.join(d, fk, "left").drop(fk)
+    return out

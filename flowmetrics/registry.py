@@ -19,7 +19,9 @@ from .plans import dims as D
 from .plans import fact as FT
 from .plans import snapshot as SN
 from .plans import views as V
+from .plans.transform import build_dimensions, build_star
 from .sources.adapter import raw_work_items
+from .sources.store import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -33,14 +35,13 @@ def register(name: str):
 
 
 def _raw(spark, sf_dir):
-    return raw_work_items(spark, sf_dir, DEFAULT)
+    """The staging table, written once per query and read back."""
+    return materialize(raw_work_items(spark, sf_dir, DEFAULT), "raw_work_items")
 
 
 def _star(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
-    dims = D.build_star_dims(raw, DEFAULT)
-    fact = FT.fact_work_items(raw, dims, DEFAULT)
-    return raw, dims, fact
+    star = build_star(_raw(spark, sf_dir), DEFAULT)
+    return star.raw, star.dims, star.fact
 
 
 # ----------------------------------------------------------------- staging level
@@ -102,7 +103,8 @@ def q_dim_date(spark, sf_dir):
 
 def _dim_query(spec):
     def q(spark, sf_dir):
-        return D.refresh(spec, None, _raw(spark, sf_dir))
+        # surrogate keys only identify (their order is arbitrary): compare members
+        return D.refresh_all(_raw(spark, sf_dir))[spec.name].drop(spec.key)
     q.__name__ = f"q_{spec.name}"
     return q
 
@@ -115,10 +117,10 @@ for _name, _spec in (("dim_project", D.DIM_PROJECT), ("dim_type", D.DIM_TYPE),
 
 @register("dim_keys")
 def q_dim_keys(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
+    dims = build_dimensions(_raw(spark, sf_dir), DEFAULT)
     parts = []
     for spec in D.ALL_DIMS:
-        d = D.refresh(spec, None, raw)
+        d = dims[spec.name]
         parts.append(d.agg(F.lit(spec.name).alias("dim_name"),
                            F.count(F.lit(1)).alias("n_rows"),
                            F.min(spec.key).alias("min_key"),
@@ -133,8 +135,8 @@ def q_dim_keys(spark, sf_dir):
 # ----------------------------------------------------------------- fact and views
 @register("fact_work_items")
 def q_fact_work_items(spark, sf_dir):
-    _, _, fact = _star(spark, sf_dir)
-    return fact.drop("last_transformed_at_utc")
+    _, dims, fact = _star(spark, sf_dir)
+    return FT.with_natural_keys(fact.drop("last_transformed_at_utc"), dims)
 
 
 @register("weekly_throughput")
@@ -157,8 +159,9 @@ def q_flow_summary(spark, sf_dir):
 
 @register("daily_snapshot")
 def q_daily_snapshot(spark, sf_dir):
-    _, _, fact = _star(spark, sf_dir)
-    return SN.daily_flow_snapshot(fact, DEFAULT).drop("snapshot_generated_at_utc")
+    _, dims, fact = _star(spark, sf_dir)
+    snap = SN.daily_flow_snapshot(fact, DEFAULT).drop("snapshot_generated_at_utc")
+    return FT.with_natural_keys(snap, dims)
 
 
 @register("sprint_throughput")

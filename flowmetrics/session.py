@@ -16,6 +16,7 @@ BASE_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

@@ -43,7 +43,8 @@ def _minutes(n: Column) -> Column:
 
 
 def _iso(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    # 'yyyy-MM-dd HH:mm:ss[.ffffff]' → ISO 8601 in UTC
+    return F.concat(F.overlay(ts.cast("string"), F.lit("T"), F.lit(11), F.lit(1)), F.lit("Z"))
 
 
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,11 +119,11 @@ def raw_work_items(spark: SparkSession, sf_dir: str, params: RunParams = DEFAULT
         iteration.alias("iteration_path"),
         F.when(k % 2 == 0, F.lit("Backend; BI")).otherwise(F.lit("Frontend; Urgent")).alias("tags"),
     )
-    typed = (typed
-             .withColumn("changed_date", F.coalesce("closed_date", "activated_date", "created_date"))
-             .withColumn("state_change_date", F.coalesce("closed_date", "activated_date"))
-             .withColumn("ingested_at_utc", F.lit(params.as_of).cast("timestamp_ntz")))
-    return typed.withColumn("fields_json", fields_json()).select(*RAW_COLUMNS)
+    typed = typed.select(
+        "*", F.coalesce("closed_date", "activated_date", "created_date").alias("changed_date"),
+        F.coalesce("closed_date", "activated_date").alias("state_change_date"),
+        F.lit(params.as_of).cast("timestamp_ntz").alias("ingested_at_utc"))
+    return typed.select(*[c if c != "fields_json" else fields_json().alias(c) for c in RAW_COLUMNS])
 
 
 def fields_json() -> Column:
