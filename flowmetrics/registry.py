@@ -168,3 +168,295 @@ def q_daily_snapshot(spark, sf_dir):
 def q_sprint_throughput(spark, sf_dir):
     _, dims, fact = _star(spark, sf_dir)
     return V.sprint_throughput(V.flow_metrics_summary(fact, dims))
+
+
+# ----------------------------------------------------------------- export
+EXPORT_PROJECT = "BUILDING"
+
+
+@register("export_project")
+def q_export_project(spark, sf_dir):
+    from .plans.export import export_rows
+    return export_rows(_raw(spark, sf_dir), DEFAULT, EXPORT_PROJECT).drop("last_transformed_at_utc")
+
+
+@register("export_projects")
+def q_export_projects(spark, sf_dir):
+    from .plans.export import export_rows
+    return export_rows(_raw(spark, sf_dir), DEFAULT).drop("last_transformed_at_utc")
+
+
+# ----------------------------------------------------------------- sources
+@register("map_fields")
+def q_map_fields(spark, sf_dir):
+    """Staging rows rebuilt from their JSON payload alone."""
+    from .sources.landing import map_records
+    raw = _raw(spark, sf_dir)
+    rec = raw.select("id", "rev", "url", F.col("fields_json").alias("fields"))
+    return map_records(rec, F.lit(DEFAULT.as_of).cast("timestamp_ntz")).drop("fields_json", "ingested_at_utc")
+
+
+@register("page_explode")
+def q_page_explode(spark, sf_dir):
+    """Records landed as ≤200-record pages, read back and flattened."""
+    from .sources.landing import pages_from_staging, read_pages
+    pages = materialize(pages_from_staging(_raw(spark, sf_dir)), "pages")
+    return read_pages(pages).select("id", "rev", "url")
+
+
+@register("id_batches")
+def q_id_batches(spark, sf_dir):
+    from .operators.batching import id_batches
+    b = id_batches(_raw(spark, sf_dir).select("id", "project_name"), 200, partition_cols=["project_name"])
+    return (b.groupBy("project_name", "batch")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("min_id"), F.max("id").alias("max_id")))
+
+
+@register("link_ids")
+def q_link_ids(spark, sf_dir):
+    from .sources.landing import id_list_documents, read_id_lists
+    from .sources.tables import table
+    docs = materialize(id_list_documents(table(spark, sf_dir, "orders")), "id_lists")
+    return read_id_lists(docs)
+
+
+@register("semi_ids")
+def q_semi_ids(spark, sf_dir):
+    """Items whose ids were requested (orders with a returned line)."""
+    from .sources.tables import table
+    req = (table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+           .select(F.col("l_orderkey").alias("id")))
+    return _raw(spark, sf_dir).join(req, "id", "left_semi").select("id", "rev", "project_name", "state")
+
+
+# ----------------------------------------------------------------- watermarks
+PREVIOUS_SYNC = "2001-01-01 00:00:00"   # cut-off of the previous sync run
+ENTITIES = ["work_items", "work_item_links"]
+
+
+def _sync_keys(raw):
+    return raw.select(F.split_part(F.col("area_path"), F.lit("\\"), F.lit(1)).alias("collection_name"),
+                      "project_name").distinct()
+
+
+def _previous_control(raw):
+    """Control table after a sync that saw the changes before the cut-off."""
+    from .operators import watermark as WM
+    spark = raw.sparkSession
+    before = raw.filter(F.col("changed_date") < F.lit(PREVIOUS_SYNC).cast("timestamp_ntz"))
+    keyed = before.select(F.split_part(F.col("area_path"), F.lit("\\"), F.lit(1)).alias("collection_name"),
+                          "project_name", "changed_date").withColumn("entity_name", F.lit("work_items"))
+    empty = spark.createDataFrame([], WM_SCHEMA())
+    started = WM.mark_start(empty, keyed.select(*WM.KEYS).distinct(), PREVIOUS_SYNC_TS())
+    prev = WM.lookup(started, keyed.select(*WM.KEYS).distinct())
+    res = WM.advance(prev, keyed, WM.KEYS)
+    return WM.mark_success(started, res, PREVIOUS_SYNC_TS())
+
+
+def WM_SCHEMA():
+    from .schemas import SYNC_WATERMARKS
+    return SYNC_WATERMARKS
+
+
+def PREVIOUS_SYNC_TS():
+    import datetime as dt
+    return dt.datetime(2001, 1, 1)
+
+
+def _requested(raw):
+    keys = _sync_keys(raw)
+    return keys.select(F.explode(F.array(*[F.lit(e) for e in ENTITIES])).alias("entity_name"),
+                       "collection_name", "project_name")
+
+
+@register("watermark_lookup")
+def q_watermark_lookup(spark, sf_dir):
+    from .operators import watermark as WM
+    raw = _raw(spark, sf_dir)
+    return WM.lookup(_previous_control(raw), _requested(raw))
+
+
+def _delta(raw, control):
+    from .operators import watermark as WM
+    items = raw.select(F.lit("work_items").alias("entity_name"),
+                       F.split_part(F.col("area_path"), F.lit("\\"), F.lit(1)).alias("collection_name"),
+                       "project_name", "id", "changed_date")
+    return WM.changed_since(items, control, WM.KEYS)
+
+
+@register("delta_ids")
+def q_delta_ids(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return (_delta(raw, _previous_control(raw))
+            .select("collection_name", "project_name", "id", "changed_date")
+            .orderBy("changed_date", "id"))
+
+
+@register("watermark_advance")
+def q_watermark_advance(spark, sf_dir):
+    from .operators import watermark as WM
+    raw = _raw(spark, sf_dir)
+    control = _previous_control(raw)
+    prev = WM.lookup(control, _requested(raw))
+    return WM.advance(prev, _delta(raw, control), WM.KEYS)
+
+
+@register("watermark_lifecycle")
+def q_watermark_lifecycle(spark, sf_dir):
+    """Start every requested key, then success with the advanced watermark."""
+    from .operators import watermark as WM
+    raw = _raw(spark, sf_dir)
+    control = _previous_control(raw)
+    req = _requested(raw)
+    started = WM.mark_start(control, req, DEFAULT.as_of)
+    res = WM.advance(WM.lookup(started, req), _delta(raw, control), WM.KEYS)
+    done = WM.mark_success(started, res, DEFAULT.as_of)
+    return done.select(*WM.KEYS, "status", "last_watermark_utc", "records_extracted_last_run",
+                       "last_sync_start_utc", "last_sync_end_utc", "error_message")
+
+
+@register("watermark_reset")
+def q_watermark_reset(spark, sf_dir):
+    from .operators import watermark as WM
+    raw = _raw(spark, sf_dir)
+    return WM.reset(_previous_control(raw), "work_items").select(*WM.KEYS, "last_watermark_utc", "status")
+
+
+# ----------------------------------------------------------------- catalog
+def _discovered(spark, sf_dir, before=None):
+    from .operators.catalog import project_uuid
+    from .sources.tables import table
+    o = table(spark, sf_dir, "orders")
+    if before:
+        o = o.filter(F.col("o_orderdate") < F.lit(before).cast("timestamp_ntz"))
+    geo = (table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+           .join(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"),
+                 F.col("c_nationkey") == F.col("n_nationkey"))
+           .join(table(spark, sf_dir, "region").select("r_regionkey", "r_name"),
+                 F.col("n_regionkey") == F.col("r_regionkey")))
+    return (o.join(geo, F.col("o_custkey") == F.col("c_custkey"))
+            .groupBy(F.col("r_name").alias("collection_name"), F.col("c_mktsegment").alias("project_name"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .select(project_uuid(F.col("collection_name"), F.col("project_name")).alias("project_id"),
+                    "collection_name", "project_name",
+                    F.concat(F.lit("orders: "), F.col("n").cast("string")).alias("description"),
+                    F.lit("wellFormed").alias("state")))
+
+
+FORBIDDEN_COLLECTION = "MIDDLE EAST"
+
+
+@register("catalog_upsert")
+def q_catalog_upsert(spark, sf_dir):
+    """Catalog discovered from orders before 1998, one collection's projects
+    marked FORBIDDEN, then refreshed by a full discovery."""
+    import datetime as dt
+    from .operators import catalog as C
+    from .schemas import CATALOG_PROJECTS
+    empty = spark.createDataFrame([], CATALOG_PROJECTS)
+    first = C.upsert_projects(empty, _discovered(spark, sf_dir, "1998-01-01"), dt.datetime(1998, 1, 1))
+    forbidden = first.filter(F.col("collection_name") == FORBIDDEN_COLLECTION).select("project_id")
+    first = C.set_access_status(first, forbidden, C.FORBIDDEN)
+    now = DEFAULT.as_of
+    return C.upsert_projects(first, _discovered(spark, sf_dir), now).drop("last_discovered_utc")
+
+
+@register("enabled_projects")
+def q_enabled_projects(spark, sf_dir):
+    import datetime as dt
+    from .operators import catalog as C
+    from .schemas import CATALOG_PROJECTS
+    empty = spark.createDataFrame([], CATALOG_PROJECTS)
+    cat = C.upsert_projects(empty, _discovered(spark, sf_dir), dt.datetime(2001, 12, 31))
+    return (C.enabled_projects(cat).groupBy("collection_name")
+            .agg(F.count(F.lit(1)).alias("projects")))
+
+
+# ----------------------------------------------------------------- logs
+def _logs(spark, sf_dir):
+    from .plans.logs import logs_from_events
+    from .sources.tables import table
+    return logs_from_events(table(spark, sf_dir, "events"))
+
+
+@register("log_days")
+def q_log_days(spark, sf_dir):
+    from .plans.logs import log_days
+    return log_days(_logs(spark, sf_dir))
+
+
+@register("log_day")
+def q_log_day(spark, sf_dir):
+    """Entries of the latest day that has entries."""
+    from .plans.logs import log_day
+    logs = _logs(spark, sf_dir)
+    last = logs.select(F.max(F.to_date("created_at_utc"))).scalar()
+    return log_day(logs, last)
+
+
+@register("log_levels")
+def q_log_levels(spark, sf_dir):
+    """What the append sink keeps at the default minimum level."""
+    from .plans.logs import level_at_least
+    return (level_at_least(_logs(spark, sf_dir), "Information")
+            .groupBy("log_level", "source_context").agg(F.count(F.lit(1)).alias("entries")))
+
+
+# ----------------------------------------------------------------- checks, upserts, flow
+@register("fk_orphans")
+def q_fk_orphans(spark, sf_dir):
+    from .operators.quality import fk_orphans
+    from .params import REFERENCE_CALENDAR
+    _, dims, fact = _star(spark, sf_dir)
+    ours = fk_orphans(fact, dims)
+    ref_dims = dict(dims)
+    ref_dims["dim_date"] = D.dim_date(spark, *REFERENCE_CALENDAR)
+    ref = fk_orphans(fact, ref_dims, prefix="reference_calendar")
+    return ours.unionByName(ref)
+
+
+@register("member_conflicts")
+def q_member_conflicts(spark, sf_dir):
+    return D.member_conflicts(_raw(spark, sf_dir))
+
+
+@register("upsert_raw")
+def q_upsert_raw(spark, sf_dir):
+    """Staging after an update batch: open items of the last quarter closed."""
+    from .operators.merge import merge_by_key
+    raw = _raw(spark, sf_dir)
+    return merge_by_key(raw, update_batch(raw), ["id"]).select(
+        "id", "rev", "state", "closed_date", "changed_date", "ingested_at_utc")
+
+
+def update_batch(raw):
+    cutoff = F.lit("2001-06-01 00:00:00").cast("timestamp_ntz")
+    batch = raw.filter(F.col("closed_date").isNull() & (F.col("changed_date") >= cutoff))
+    closed = F.col("changed_date") + F.expr("INTERVAL 2 DAYS")
+    return batch.select(*[
+        (F.col("rev") + 1).alias("rev") if c == "rev" else
+        F.lit("Closed").alias("state") if c == "state" else
+        closed.alias(c) if c in ("closed_date", "changed_date", "state_change_date") else
+        F.lit(DEFAULT.as_of).cast("timestamp_ntz").alias("ingested_at_utc") if c == "ingested_at_utc" else
+        F.col(c) for c in raw.columns])
+
+
+@register("snapshot_merge")
+def q_snapshot_merge(spark, sf_dir):
+    """Snapshot stored at an earlier run, then merged with the current run."""
+    import dataclasses
+    import datetime as dt
+    _, dims, fact = _star(spark, sf_dir)
+    earlier = dataclasses.replace(DEFAULT, snapshot_end=dt.date(2001, 6, 1))
+    old = SN.daily_flow_snapshot(fact, earlier)
+    new = SN.daily_flow_snapshot(fact, DEFAULT)
+    merged = SN.merge_snapshot(old, new).drop("snapshot_generated_at_utc")
+    return FT.with_natural_keys(merged, dims)
+
+
+@register("cumulative_flow")
+def q_cumulative_flow(spark, sf_dir):
+    import datetime as dt
+    from .plans.flow import cumulative_flow
+    end = DEFAULT.snapshot_end
+    return cumulative_flow(_raw(spark, sf_dir), end - dt.timedelta(days=DEFAULT.snapshot_days), end)
