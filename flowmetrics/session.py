@@ -13,6 +13,9 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # small shuffles still spread CPU-heavy post-shuffle work over the cores;
+    # at scale the advisory size (64 MB) decides
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",
