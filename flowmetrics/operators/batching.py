@@ -47,8 +47,11 @@ def ordered_rank(df: DataFrame, id_col: str, parts: list[str]) -> DataFrame:
     else:
         j = df.select("*", df.select(F.min(id_col)).scalar().alias("_lo"),
                       df.select(F.max(id_col)).scalar().alias("_hi"))
-    width = F.greatest((F.col("_hi") - F.col("_lo") + 1) / nb, F.lit(1.0))
-    j = j.withColumn("_rb", F.least(F.floor((F.col(id_col) - F.col("_lo")) / width).cast("int"),
+    # in DOUBLE: monotonic in the id (buckets stay contiguous ranges) and no
+    # overflow for ids spanning the whole long range (e.g. hashes)
+    lo, hi = F.col("_lo").cast("double"), F.col("_hi").cast("double")
+    width = F.greatest((hi - lo + 1) / nb, F.lit(1.0))
+    j = j.withColumn("_rb", F.least(F.floor((F.col(id_col).cast("double") - lo) / width).cast("int"),
                                     F.lit(nb - 1))).drop("_lo", "_hi")
     numbered = j.withColumn("_rn", F.row_number().over(
         Window.partitionBy(*parts, "_rb").orderBy(id_col)))

@@ -460,3 +460,17 @@ def q_cumulative_flow(spark, sf_dir):
     from .plans.flow import cumulative_flow
     end = DEFAULT.snapshot_end
     return cumulative_flow(_raw(spark, sf_dir), end - dt.timedelta(days=DEFAULT.snapshot_days), end)
+
+
+@register("discovery_read")
+def q_discovery_read(spark, sf_dir):
+    """Catalog discovery documents (≤200 per page) read back: projects per
+    collection (first 1000 per collection response) with their collection."""
+    from .sources.landing import discovery_documents, read_collections, read_projects
+    disc = _discovered(spark, sf_dir)
+    colls, projs = discovery_documents(disc.select("collection_name", "project_id", "project_name", "description"))
+    colls, projs = materialize(colls, "collections_docs"), materialize(projs, "projects_docs")
+    p = read_projects(projs)
+    c = read_collections(colls)
+    return p.join(c.select("collection_name"), "collection_name", "left_semi").select(
+        "collection_name", "project_id", "project_name", "description", "state")

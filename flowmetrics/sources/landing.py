@@ -149,3 +149,24 @@ def read_collections(documents: DataFrame, column: str = "document") -> DataFram
     env = documents.select(F.from_json(F.col(column), COLLECTIONS_ENVELOPE).alias("e"))
     return env.select(F.explode("e.value").alias("c")).select(
         F.col("c.name").alias("collection_name"), F.col("c.description").alias("description"))
+
+
+def discovery_documents(geo_projects: DataFrame, page_size: int = MAX_PAGE) -> tuple[DataFrame, DataFrame]:
+    """Discovery responses from (collection_name, project_id, project_name,
+    description): one projects document per (collection, page), and one
+    collections document per page of collections."""
+    b = id_batches(geo_projects.withColumn("_ord", F.xxhash64("project_id")), page_size, "_ord",
+                   partition_cols=["collection_name"])
+    proj = F.struct(F.col("project_id").alias("id"), F.col("project_name").alias("name"),
+                    F.col("description"), F.lit("wellFormed").alias("state"), F.lit(1).cast("long").alias("revision"))
+    projects = (b.groupBy("collection_name", "batch")
+                .agg(F.to_json(F.struct(F.count(F.lit(1)).cast("int").alias("count"),
+                                        F.sort_array(F.collect_list(proj)).alias("value"))).alias("document")))
+    colls = geo_projects.select("collection_name").distinct()
+    cb = id_batches(colls.withColumn("_ord", F.xxhash64("collection_name")), page_size, "_ord")
+    coll = F.struct(F.col("collection_name").alias("id"), F.col("collection_name").alias("name"),
+                    F.lit(None).cast("string").alias("description"), F.lit("Started").alias("state"))
+    collections = (cb.groupBy("batch")
+                   .agg(F.to_json(F.struct(F.count(F.lit(1)).cast("int").alias("count"),
+                                           F.sort_array(F.collect_list(coll)).alias("value"))).alias("document")))
+    return collections, projects
