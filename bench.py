@@ -54,7 +54,8 @@ def run_once(spark, sf_dir, out_dir):
     return t
 
 
-def duckdb_baseline(sf_dir):
+def duckdb_baseline(sf_dir, out_dir):
+    """The same stages on DuckDB: staging table first, then each query over it."""
     try:
         import duckdb
 
@@ -66,16 +67,35 @@ def duckdb_baseline(sf_dir):
     for name in TABLES:
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
     out = {}
-    for name in ("staging_count", "fact_work_items", "daily_snapshot", "weekly_throughput", "flow_summary",
-                 "export_projects"):
-        sql = O.SQL[name]
-        con.execute(f"SELECT COUNT(*) FROM ({sql})").fetchall()  # warm-up
+    raw_sql = O.with_("raw") + "SELECT * FROM raw"
+    for rep in range(2):   # second round timed
+        con.execute("DROP TABLE IF EXISTS raw_staged")
         t0 = time.perf_counter()
-        con.execute(f"SELECT COUNT(*) FROM ({sql})").fetchall()
-        out[name] = round(time.perf_counter() - t0, 3)
+        con.execute(f"CREATE TABLE raw_staged AS {raw_sql}")
+        out["staging"] = round(time.perf_counter() - t0, 3)
+        if True:
+            for key, name in (("fact", "fact_work_items"), ("daily_snapshot", "daily_snapshot"),
+                              ("weekly_throughput", "weekly_throughput"), ("flow_summary", "flow_summary")):
+                sql = _restage(O, name)
+                t0 = time.perf_counter()
+                con.execute(f"SELECT COUNT(*) FROM ({sql})").fetchall()
+                out[key] = round(time.perf_counter() - t0, 3)
+            t0 = time.perf_counter()
+            path = os.path.join(out_dir, f"duck-export-{time.time_ns()}.parquet")
+            con.execute(f"COPY ({_restage(O, 'export_projects')} ORDER BY work_item_id) TO '{path}' "
+                        "(FORMAT PARQUET, COMPRESSION 'SNAPPY')")
+            out["export"] = round(time.perf_counter() - t0, 3)
     return out
 
 
+def _restage(O, name):
+    """One oracle query with ``raw`` read from the staged table."""
+    adapter = ",\n".join(O.CTE[n] for n in ("li", "src", "raw0", "raw"))
+    sql = O.SQL[name]
+    assert adapter in sql, name
+    return sql.replace(adapter, "raw AS (SELECT * FROM raw_staged)")
+
+
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -91,7 +111,7 @@ def main():
         "unit": "sec",
         "queries": times,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-        "baseline": {"engine": "duckdb", "queries": duckdb_baseline(sf_dir)},
+        "baseline": {"engine": "duckdb", "queries": duckdb_baseline(sf_dir, out_dir)},
     }))
 
 

@@ -5,8 +5,8 @@ defaults (see ``functions.durations.export_*``): an unknown state is "In
 Progress" in the output column, but neither active nor exempt from ageing,
 and an empty state is treated like an unknown one. Durations are DOUBLE in
 the exported file (the export engine's type), holding the exactly rounded
-2-decimal value. Output is written sorted by id (range-partitioned, so no
-single task sorts everything).
+2-decimal value. A single project's export is range-partitioned on the id
+(part files in id order, no single task sorts everything).
 """
 
 from __future__ import annotations
@@ -67,9 +67,13 @@ def export_project(raw: DataFrame, project: str, output_path: str,
 
 
 def export_all_projects(raw: DataFrame, output_path: str, params: RunParams = DEFAULT) -> str:
-    """All projects in one job, one folder per project (``project_name=…``)."""
+    """All projects in one job, one folder per project (``project_name=…``).
+
+    No shuffle: each task sorts its rows by (project, id) and writes one
+    id-sorted file per project it holds.
+    """
     rows = export_rows(raw, params)
-    (rows.repartition("project_name", "work_item_id").sortWithinPartitions("work_item_id")
+    (rows.sortWithinPartitions("project_name", "work_item_id")
      .write.mode("overwrite").option("compression", "snappy")
      .partitionBy("project_name").parquet(output_path))
     return output_path

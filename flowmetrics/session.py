@@ -29,6 +29,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        # local mode: the driver JVM runs every task; the 1 GB default heap
+        # makes 8 task threads spend their time in GC
+        conf["spark.driver.memory"] = os.environ.get("FLOWMETRICS_DRIVER_MEMORY", "12g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
