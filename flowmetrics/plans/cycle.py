@@ -61,7 +61,7 @@ def transform(spark: SparkSession, root: str, raw: DataFrame,
     if os.path.exists(dims_path):
         stored = spark.read.parquet(dims_path)
         current = {s.name: D.from_stacked(s, stored) for s in D.ALL_DIMS}
-    stacked = D.refresh_stacked(raw, D._stack_current(current, D.ALL_DIMS))
+    stacked = D.refresh_stacked(raw, D.stack_current(current, D.ALL_DIMS))
     # written to the checkpoint folder first: the stored table is an input
     stacked = materialize(stacked, "dimensions")
     stacked.write.mode("overwrite").partitionBy("dim").parquet(dims_path)

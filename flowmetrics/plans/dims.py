@@ -205,11 +205,11 @@ def refresh_stacked(raw: DataFrame, current: DataFrame | None, specs=ALL_DIMS) -
 
 def refresh_all(raw: DataFrame, current: dict[str, DataFrame] | None = None,
                 specs=ALL_DIMS) -> dict[str, DataFrame]:
-    stacked = refresh_stacked(raw, _stack_current(current, specs), specs)
+    stacked = refresh_stacked(raw, stack_current(current, specs), specs)
     return {s.name: from_stacked(s, stacked) for s in specs}
 
 
-def _stack_current(current: dict[str, DataFrame] | None, specs) -> DataFrame | None:
+def stack_current(current: dict[str, DataFrame] | None, specs) -> DataFrame | None:
     if not current:
         return None
     spark = next(iter(current.values())).sparkSession

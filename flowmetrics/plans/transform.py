@@ -28,7 +28,7 @@ class Star:
 def build_dimensions(raw: DataFrame, params: RunParams = DEFAULT,
                      current: dict[str, DataFrame] | None = None,
                      write: bool = True) -> dict[str, DataFrame]:
-    stacked = D.refresh_stacked(raw, D._stack_current(current, D.ALL_DIMS))
+    stacked = D.refresh_stacked(raw, D.stack_current(current, D.ALL_DIMS))
     if write:
         # one small table for all six dims, partitioned by dim for pruning
         stacked = materialize(stacked, "dimensions", partition_by=["dim"])

@@ -7,6 +7,7 @@ out of compared outputs.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -230,37 +231,31 @@ def q_semi_ids(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- watermarks
-PREVIOUS_SYNC = "2001-01-01 00:00:00"   # cut-off of the previous sync run
+PREVIOUS_SYNC = dt.datetime(2001, 1, 1)   # cut-off of the previous sync run
 ENTITIES = ["work_items", "work_item_links"]
 
 
+def _collection(area_path: str = "area_path"):
+    # the collection of an item is its area path's root (the customer's region)
+    return F.split_part(F.col(area_path), F.lit("\\"), F.lit(1))
+
+
 def _sync_keys(raw):
-    return raw.select(F.split_part(F.col("area_path"), F.lit("\\"), F.lit(1)).alias("collection_name"),
-                      "project_name").distinct()
+    return raw.select(_collection().alias("collection_name"), "project_name").distinct()
 
 
 def _previous_control(raw):
     """Control table after a sync that saw the changes before the cut-off."""
     from .operators import watermark as WM
+    from .schemas import SYNC_WATERMARKS
     spark = raw.sparkSession
     before = raw.filter(F.col("changed_date") < F.lit(PREVIOUS_SYNC).cast("timestamp_ntz"))
-    keyed = before.select(F.split_part(F.col("area_path"), F.lit("\\"), F.lit(1)).alias("collection_name"),
-                          "project_name", "changed_date").withColumn("entity_name", F.lit("work_items"))
-    empty = spark.createDataFrame([], WM_SCHEMA())
-    started = WM.mark_start(empty, keyed.select(*WM.KEYS).distinct(), PREVIOUS_SYNC_TS())
-    prev = WM.lookup(started, keyed.select(*WM.KEYS).distinct())
-    res = WM.advance(prev, keyed, WM.KEYS)
-    return WM.mark_success(started, res, PREVIOUS_SYNC_TS())
-
-
-def WM_SCHEMA():
-    from .schemas import SYNC_WATERMARKS
-    return SYNC_WATERMARKS
-
-
-def PREVIOUS_SYNC_TS():
-    import datetime as dt
-    return dt.datetime(2001, 1, 1)
+    synced = before.select(F.lit("work_items").alias("entity_name"), _collection().alias("collection_name"),
+                           "project_name", "changed_date")
+    keys = synced.select(*WM.KEYS).distinct()
+    started = WM.mark_start(spark.createDataFrame([], SYNC_WATERMARKS), keys, PREVIOUS_SYNC)
+    results = WM.advance(WM.lookup(started, keys), synced, WM.KEYS)
+    return WM.mark_success(started, results, PREVIOUS_SYNC)
 
 
 def _requested(raw):
@@ -278,8 +273,7 @@ def q_watermark_lookup(spark, sf_dir):
 
 def _delta(raw, control):
     from .operators import watermark as WM
-    items = raw.select(F.lit("work_items").alias("entity_name"),
-                       F.split_part(F.col("area_path"), F.lit("\\"), F.lit(1)).alias("collection_name"),
+    items = raw.select(F.lit("work_items").alias("entity_name"), _collection().alias("collection_name"),
                        "project_name", "id", "changed_date")
     return WM.changed_since(items, control, WM.KEYS)
 
@@ -350,7 +344,6 @@ FORBIDDEN_COLLECTION = "MIDDLE EAST"
 def q_catalog_upsert(spark, sf_dir):
     """Catalog discovered from orders before 1998, one collection's projects
     marked FORBIDDEN, then refreshed by a full discovery."""
-    import datetime as dt
     from .operators import catalog as C
     from .schemas import CATALOG_PROJECTS
     empty = spark.createDataFrame([], CATALOG_PROJECTS)
@@ -363,7 +356,6 @@ def q_catalog_upsert(spark, sf_dir):
 
 @register("enabled_projects")
 def q_enabled_projects(spark, sf_dir):
-    import datetime as dt
     from .operators import catalog as C
     from .schemas import CATALOG_PROJECTS
     empty = spark.createDataFrame([], CATALOG_PROJECTS)
@@ -445,7 +437,6 @@ def update_batch(raw):
 def q_snapshot_merge(spark, sf_dir):
     """Snapshot stored at an earlier run, then merged with the current run."""
     import dataclasses
-    import datetime as dt
     _, dims, fact = _star(spark, sf_dir)
     earlier = dataclasses.replace(DEFAULT, snapshot_end=dt.date(2001, 6, 1))
     old = SN.daily_flow_snapshot(fact, earlier)
@@ -456,7 +447,6 @@ def q_snapshot_merge(spark, sf_dir):
 
 @register("cumulative_flow")
 def q_cumulative_flow(spark, sf_dir):
-    import datetime as dt
     from .plans.flow import cumulative_flow
     end = DEFAULT.snapshot_end
     return cumulative_flow(_raw(spark, sf_dir), end - dt.timedelta(days=DEFAULT.snapshot_days), end)
