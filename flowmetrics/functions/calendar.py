@@ -21,3 +21,19 @@ def iso_day_of_week(d: Column) -> Column:
 def sprint_name(path: Column) -> Column:
     """Last backslash-separated segment, or the whole path when it is empty."""
     return F.coalesce(F.nullif(F.split_part(path, F.lit("\\"), F.lit(-1)), F.lit("")), path)
+
+
+def ts_lit(value) -> Column:
+    """A UTC wall-clock ``timestamp_ntz`` literal.
+
+    Built from text, so it does not depend on the session time zone (a Python
+    ``datetime`` literal would be read as local time and then converted).
+    """
+    import datetime as dt
+    if isinstance(value, Column):
+        return value
+    if isinstance(value, dt.datetime):
+        value = value.replace(tzinfo=None).isoformat(sep=" ")
+    elif isinstance(value, dt.date):
+        value = value.isoformat()
+    return F.lit(str(value)).cast("timestamp_ntz")

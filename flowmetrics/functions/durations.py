@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..schemas import D2
+from .calendar import ts_lit
 from .classify import in_state_group
 
 MICROS_PER_DAY = 86_400_000_000
@@ -24,7 +25,7 @@ def days_between(start: Column, end: Column) -> Column:
 
 
 def as_of_lit(as_of: dt.datetime) -> Column:
-    return F.lit(as_of).cast("timestamp_ntz")
+    return ts_lit(as_of)
 
 
 def lead_time(created: Column, closed: Column) -> Column:

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .calendar import ts_lit
+
 NUMERIC_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE")
 INTEGER_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT")
 
@@ -62,7 +64,10 @@ def as_double(v: Column, name: str) -> Column:
 
 def as_timestamp(v: Column, name: str) -> Column:
     s = F.when(_kind(v, name) == "STRING", F.try_variant_get(v, path(name), "string"))
-    return F.try_to_timestamp(s).cast("timestamp_ntz")
+    # parse as an instant (offsets honoured), then take its UTC wall clock from
+    # the epoch microseconds: no session-zone round trip (ambiguous at DST ends)
+    instant = F.try_to_timestamp(s)
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), ts_lit("1970-01-01 00:00:00"))
 
 
 def as_boolean(v: Column, name: str) -> Column:

@@ -11,13 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .merge import merge_by_key
+from ..functions.calendar import ts_lit
 
 AUTHORIZED, FORBIDDEN = "AUTHORIZED", "FORBIDDEN"
 
 
 def upsert_projects(catalog: DataFrame, discovered: DataFrame, now) -> DataFrame:
     """``discovered``: project_id, collection_name, project_name, description, state."""
-    ts = F.lit(now).cast("timestamp_ntz")
+    ts = ts_lit(now)
     inc = discovered.select("project_id", "collection_name", "project_name", "description", "state",
                             ts.alias("last_discovered_utc"))
     return merge_by_key(catalog, inc, ["project_id"],
@@ -27,7 +28,7 @@ def upsert_projects(catalog: DataFrame, discovered: DataFrame, now) -> DataFrame
 
 
 def upsert_collections(catalog: DataFrame, discovered: DataFrame, now) -> DataFrame:
-    ts = F.lit(now).cast("timestamp_ntz")
+    ts = ts_lit(now)
     inc = discovered.select("collection_name", "description", ts.alias("last_discovered_utc"))
     return merge_by_key(catalog, inc, ["collection_name"], ["last_discovered_utc"],
                         {"is_enabled": F.lit(True)})

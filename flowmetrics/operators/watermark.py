@@ -14,13 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .merge import merge_by_key
+from ..functions.calendar import ts_lit
 
 KEYS = ["entity_name", "collection_name", "project_name"]
 EPOCH = dt.datetime(1970, 1, 1)
 
 
 def _ts(v) -> Column:
-    return v if isinstance(v, Column) else F.lit(v).cast("timestamp_ntz")
+    return ts_lit(v)
 
 
 def lookup(control: DataFrame, requested: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import durations as dur
-from ..functions.calendar import sprint_name
+from ..functions.calendar import sprint_name, ts_lit
 from ..functions.classify import UNASSIGNED_DISPLAY, UNKNOWN_NAME, state_category, type_category
 from ..params import DEFAULT, RunParams
 
@@ -53,7 +53,7 @@ def export_rows(raw: DataFrame, params: RunParams = DEFAULT, project: str | None
         dur.export_is_active(st, x).alias("is_active"),
         "story_points", "original_estimate", "remaining_work", "completed_work",
         "priority", "severity", "tags",
-        F.lit(params.as_of).cast("timestamp_ntz").alias("last_transformed_at_utc"),
+        ts_lit(params.as_of).alias("last_transformed_at_utc"),
     )
 
 

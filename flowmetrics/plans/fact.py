@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import durations as dur
-from ..functions.calendar import date_key
+from ..functions.calendar import date_key, ts_lit
 from ..params import DEFAULT, RunParams
 
 FACT_COLUMNS = [
@@ -81,7 +81,7 @@ def fact_work_items(raw: DataFrame, dims: dict[str, DataFrame],
         *flow_columns(F.col("state_category"), created, activated, closed, params.as_of),
         "story_points", "original_estimate", "remaining_work", "completed_work",
         "priority", "severity", "tags",
-        F.lit(params.as_of).cast("timestamp_ntz").alias("last_transformed_at_utc"),
+        ts_lit(params.as_of).alias("last_transformed_at_utc"),
     )
 
 

@@ -25,6 +25,7 @@ from ..functions.aggregates import avg_round2
 from ..operators.merge import merge_by_key
 from ..params import DEFAULT, RunParams
 from ..schemas import D2
+from ..functions.calendar import ts_lit
 
 GROUP = ["project_key", "type_key", "state_key"]
 SNAPSHOT_KEY = ["snapshot_date_key", *GROUP]
@@ -80,7 +81,7 @@ def daily_flow_snapshot(fact: DataFrame, params: RunParams = DEFAULT) -> DataFra
                 F.coalesce("avg_lead_time_days", zero).alias("avg_lead_time_days"),
                 F.coalesce(F.col("total_story_points_completed"), zero).cast(D2)
                 .alias("total_story_points_completed"),
-                F.lit(params.as_of).cast("timestamp_ntz").alias("snapshot_generated_at_utc")))
+                ts_lit(params.as_of).alias("snapshot_generated_at_utc")))
 
 
 SNAPSHOT_SCHEMA = ("snapshot_date_key int, project_key int, type_key int, state_key int, "

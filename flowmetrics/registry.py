@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import durations as dur
+from .functions.calendar import ts_lit
 from .functions.classify import dim_state_category, state_category, type_category
 from .params import DEFAULT
 from .plans import dims as D
@@ -194,7 +195,7 @@ def q_map_fields(spark, sf_dir):
     from .sources.landing import map_records
     raw = _raw(spark, sf_dir)
     rec = raw.select("id", "rev", "url", F.col("fields_json").alias("fields"))
-    return map_records(rec, F.lit(DEFAULT.as_of).cast("timestamp_ntz")).drop("fields_json", "ingested_at_utc")
+    return map_records(rec, ts_lit(DEFAULT.as_of)).drop("fields_json", "ingested_at_utc")
 
 
 @register("page_explode")
@@ -249,7 +250,7 @@ def _previous_control(raw):
     from .operators import watermark as WM
     from .schemas import SYNC_WATERMARKS
     spark = raw.sparkSession
-    before = raw.filter(F.col("changed_date") < F.lit(PREVIOUS_SYNC).cast("timestamp_ntz"))
+    before = raw.filter(F.col("changed_date") < ts_lit(PREVIOUS_SYNC))
     synced = before.select(F.lit("work_items").alias("entity_name"), _collection().alias("collection_name"),
                            "project_name", "changed_date")
     keys = synced.select(*WM.KEYS).distinct()
@@ -322,7 +323,7 @@ def _discovered(spark, sf_dir, before=None):
     from .sources.tables import table
     o = table(spark, sf_dir, "orders")
     if before:
-        o = o.filter(F.col("o_orderdate") < F.lit(before).cast("timestamp_ntz"))
+        o = o.filter(F.col("o_orderdate") < ts_lit(before))
     geo = (table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
            .join(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"),
                  F.col("c_nationkey") == F.col("n_nationkey"))
@@ -429,7 +430,7 @@ def update_batch(raw):
         (F.col("rev") + 1).alias("rev") if c == "rev" else
         F.lit("Closed").alias("state") if c == "state" else
         closed.alias(c) if c in ("closed_date", "changed_date", "state_change_date") else
-        F.lit(DEFAULT.as_of).cast("timestamp_ntz").alias("ingested_at_utc") if c == "ingested_at_utc" else
+        ts_lit(DEFAULT.as_of).alias("ingested_at_utc") if c == "ingested_at_utc" else
         F.col(c) for c in raw.columns])
 
 

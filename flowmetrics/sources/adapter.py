@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..params import DEFAULT, RunParams
 from ..schemas import D2, RAW_COLUMNS
 from .tables import table
+from ..functions.calendar import ts_lit
 
 # Fixed values of the adapter (FIXTURES.md §3), in order of ``k % len``.
 WORK_ITEM_TYPES = ["Epic", "Feature", "User Story", "Product Backlog Item", "BUG",
@@ -122,7 +123,7 @@ def raw_work_items(spark: SparkSession, sf_dir: str, params: RunParams = DEFAULT
     typed = typed.select(
         "*", F.coalesce("closed_date", "activated_date", "created_date").alias("changed_date"),
         F.coalesce("closed_date", "activated_date").alias("state_change_date"),
-        F.lit(params.as_of).cast("timestamp_ntz").alias("ingested_at_utc"))
+        ts_lit(params.as_of).alias("ingested_at_utc"))
     return typed.select(*[c if c != "fields_json" else fields_json().alias(c) for c in RAW_COLUMNS])
 
 

@@ -25,6 +25,7 @@ from ..operators import watermark as WM
 from ..schemas import RAW_WORK_ITEMS, SYNC_WATERMARKS
 from ..sources.landing import field_type_errors, map_records
 from ..sources.store import KeyedTable
+from ..functions.calendar import ts_lit
 
 # ``fields`` is an object in the documents; a string-typed schema keeps its JSON text
 PAGE_FILE_SCHEMA = T.StructType([
@@ -63,7 +64,7 @@ class Ingest:
         (bad.select(F.lit(batch_id).alias("batch_id"), "id", "rev", "bad_fields", "fields")
          .write.mode("append").parquet(self.quarantine_root))
         good = batch.join(bad.select("id"), "id", "left_anti")
-        staged = map_records(good, F.lit(now).cast("timestamp_ntz"))
+        staged = map_records(good, ts_lit(now))
         self.staging.merge(staged, order_by=self.order_by)
         # watermark per project: max(previous, max changed date of this batch)
         synced = staged.select(F.lit(self.entity).alias("entity_name"),

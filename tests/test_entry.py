@@ -35,3 +35,19 @@ def test_query_matches_oracle(spark, name):
     h1, _ = digest(df.columns, [tuple(r) for r in df.collect()])
     h2, _ = digest(ocols, res.fetchall())
     assert h1 == h2
+
+
+@pytest.mark.parametrize("name", ["map_fields", "wip_age", "delta_ids", "log_day"])
+def test_results_do_not_depend_on_session_zone(spark, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    res = con.execute(E.oracle_sql()[name])
+    ocols = [d[0] for d in res.description]
+    assert digest(df.columns, rows)[0] == digest(ocols, res.fetchall())[0]
