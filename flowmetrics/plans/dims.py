@@ -98,15 +98,14 @@ STACK_SCHEMA = "dim string, natural string, attr string, key int"
 def stacked_members(raw: DataFrame, specs=ALL_DIMS) -> DataFrame:
     """(dim, natural, name, ts) for every member mention in the staging rows.
 
-    One narrow projection per dimension (Parquet reads only its columns),
-    unioned. ``name`` is the display name for members, NULL otherwise.
+    One scan of the staging columns, each row exploded into its (at most
+    seven) mentions. ``name`` is the display name for members, NULL otherwise.
     """
     null = F.lit(None).cast("string")
 
-    def mention(spec: DimSpec, natural, name, keep_col: str) -> DataFrame:
-        return raw.filter(_present(keep_col)).select(
-            F.lit(spec.name).alias("dim"), natural.alias("natural"), name.alias("name"),
-            F.col("changed_date").alias("ts"))
+    def mention(spec: DimSpec, natural, name, keep_col: str):
+        return F.struct(F.lit(spec.name).alias("dim"), natural.alias("natural"), name.alias("name"),
+                        F.col("changed_date").alias("ts"), _present(keep_col).alias("keep"))
     by_dim = {
         DIM_PROJECT: [mention(DIM_PROJECT, F.col("project_name"), null, "project_name")],
         DIM_TYPE: [mention(DIM_TYPE, F.col("work_item_type"), null, "work_item_type")],
@@ -119,11 +118,9 @@ def stacked_members(raw: DataFrame, specs=ALL_DIMS) -> DataFrame:
                      mention(DIM_MEMBER, F.coalesce("created_by_unique_name", "created_by_name"),
                              F.col("created_by_name"), "created_by_name")],
     }
-    parts = [df for spec in specs for df in by_dim[spec]]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    structs = [m for spec in specs for m in by_dim[spec]]
+    return (raw.select(F.explode(F.array(*structs)).alias("m")).select("m.*")
+            .filter(F.col("keep")).drop("keep"))
 
 
 def _derived_attr(dim: Column, natural: Column, name: Column) -> Column:
