@@ -11,8 +11,14 @@ The staging table ``raw_work_items`` is normally filled by ingestion
   rules (closed before created, activated after closed, …) is exercised.
 
 Plan shape: lineitem is pre-aggregated per order (partial aggregation before
-the shuffle), so the join to ``orders`` is one co-partitioned sort-merge join
-on the order key; nation/region are broadcast by the size threshold.
+the shuffle). The per-order aggregate grows with the data, so its join to
+``orders`` is a sort-merge join on the order key at every size (hint, not a
+size-dependent broadcast); the order key is unique on both sides, so the join
+has no hot keys. It is the last join between large inputs, so the 28-column
+projection, the JSON serialisation and the write run in its post-shuffle
+stage, one task per shuffle partition, however the inputs are split.
+Customer, nation, region and supplier are left to the planner (broadcast
+under the size threshold, sort-merge above it; AQE splits skewed customers).
 """
 
 from __future__ import annotations
@@ -68,7 +74,7 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     return (orders
             .join(cust, F.col("o_custkey") == F.col("c_custkey"))
-            .join(li, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+            .join(li.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
             .join(supp, F.col("s_suppkey") == F.col("sk"), "left"))
 
 
