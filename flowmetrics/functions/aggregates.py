@@ -19,5 +19,11 @@ def avg_round2(c: Column) -> Column:
 
 
 def percentile_cont(c: Column, q: float) -> Column:
-    """Exact continuous percentile (interpolating), NULLs ignored, DOUBLE."""
+    """Exact continuous percentile (interpolating), NULLs ignored, DOUBLE.
+
+    Spark's exact ``percentile`` keeps a count per distinct value (not the
+    rows) and merges partial maps across the shuffle, so a hot group costs
+    memory in distinct values: a NUMERIC(10,2) day count has a bounded domain
+    however many rows share it.
+    """
     return F.percentile(c, F.lit(q))
