@@ -88,8 +88,9 @@ def exact_copies(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "sha")
     repeated = flagged.filter("maybe_repeated").drop("maybe_repeated")
-    groups = repeated.groupBy("sha").agg(F.count(F.lit(1)).alias("group_size"),
-                                         F.max(F.struct("doc_id", "row_id")).alias("keep"))
+    # written before the join back, whose row side Spark then splits at hot digests
+    groups = staged(repeated.groupBy("sha").agg(F.count(F.lit(1)).alias("group_size"),
+                                                F.max(F.struct("doc_id", "row_id")).alias("keep")), "groups")
     grouped = repeated.join(groups, "sha").select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
         (F.col("row_id") == F.col("keep.row_id")).alias("kept"), "sha")

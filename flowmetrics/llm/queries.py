@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_rules, sharding
+from . import exact_dedup, line_rules, mixing, sharding, simhash
 from .common import load, staged, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +39,15 @@ def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op8_bloom_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_copies(load(spark, sf_dir, "documents"))
+
+
+@register
+def op4_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.allocate(load(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@register
+def op6_simhash_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(load(spark, sf_dir, "documents")).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -30,7 +30,7 @@ from .common import bucket_offsets, power_of_two, staged
 
 ROUNDS = 4
 WALK = 96
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 1_000
 MAX_BUCKETS = 4_096
 
 
