@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_rules, mixing, sharding, simhash
+from . import exact_dedup, line_rules, mixing, packing, quality, sharding, simhash, toxicity, warc
 from .common import load, staged, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,3 +51,23 @@ def op4_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_simhash_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(load(spark, sf_dir, "documents")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@register
+def op5_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(load(spark, sf_dir, "documents"))
+
+
+@register
+def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_bundles(warc.write_bundles(load(spark, sf_dir, "pages")))
+
+
+@register
+def op9_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@register
+def op10_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
