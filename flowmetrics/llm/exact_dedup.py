@@ -53,11 +53,11 @@ def filter_blocks(rows: int, max_bits: int = MAX_BITS) -> int:
     return power_of_two(rows * BITS_PER_ROW, BLOCK_BITS, max_bits) // BLOCK_BITS
 
 
-def repeat_filter(hashed: DataFrame, blocks: int) -> DataFrame:
-    """(block, bitmap) of the bits that two or more rows of ``hashed.sha`` set."""
+def repeat_filter(hashed: DataFrame, blocks: int, least: int = 2) -> DataFrame:
+    """(block, bitmap) of the bits that ``least`` or more rows of ``hashed.sha`` set."""
     return (hashed.select(_block(F.col("sha"), blocks).alias("block"),
                           F.explode(F.array_distinct(F.array(*_probes(F.col("sha"))))).alias("bit"))
-            .groupBy("block", "bit").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+            .groupBy("block", "bit").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
             .groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bitmap")))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_rules, mixing, packing, quality, sharding, simhash, toxicity, warc
+from . import exact_dedup, line_rules, mixing, packing, quality, sharding, simhash, substrings, toxicity, warc
 from .common import load, staged, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def register(fn: Query) -> Query:
     return fn
 
 
+@register
+def op1_bwt_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(load(spark, sf_dir, "documents")).drop("spans")
+
+
 @register
 def op2_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in shards 0..7 under the law ``rows``; the row number is kept too."""
