@@ -140,38 +140,54 @@ def anchors(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
 
 # ------------------------------------------------------------------ the index of a block
 def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in the order of their first ``depth`` symbols at least."""
+    """Suffixes in the order of their first ``depth`` symbols at least. A rank is the
+    place where its class begins; only classes of two or more are sorted again."""
     n = len(symbols)
-    rank, reach = symbols.astype(np.int64), 1
-    top = int(rank.max()) + 2
-    pad = lambda r, k: np.concatenate([r[k:] + 1, np.zeros(min(k, n), np.int64)])[:n]
-    packed = 1
-    key = rank + 1
-    while packed < 4 and top ** (packed + 1) < 1 << 62:        # first symbols packed into one number
-        key = key * top + pad(rank, packed)
-        packed += 1
-    reach = packed
-    while True:
-        order = np.argsort(key)
-        ordered = key[order]
-        new = np.empty(n, np.int64)
-        new[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
-        rank = new
-        if reach >= depth or rank.max() == n - 1:
-            return order
-        key = rank * (n + 1) + pad(rank, reach)
+    top = int(symbols.max()) + 2
+    key, reach = symbols.astype(np.int64) + 1, 1
+    while reach < 7 and top ** (reach + 1) < 1 << 62:         # first symbols packed into one number
+        ahead = np.zeros(n, np.int64)
+        ahead[:max(0, n - reach)] = symbols[reach:] + 1
+        key = key * top + ahead
+        reach += 1
+
+    def classes(ordered: np.ndarray) -> np.ndarray:
+        """First position of the class of each position of a sorted array."""
+        new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+        return np.maximum.accumulate(np.where(new, np.arange(len(ordered)), 0))
+
+    order = np.argsort(key)
+    begin = classes(key[order])
+    rank = np.empty(n + 1, np.int64)
+    rank[n] = -1
+    rank[order] = begin
+    while reach < depth:
+        alone = begin == np.arange(n)
+        alone[:-1] &= begin[1:] != begin[:-1]
+        open_ = np.flatnonzero(~alone)                          # positions whose class has company
+        if not len(open_):
+            break
+        suffix = order[open_]
+        key = rank[suffix] * (n + 1) + rank[np.minimum(suffix + reach, n)] + 1
+        by = np.argsort(key)
+        suffix, key = suffix[by], key[by]
+        order[open_] = suffix
+        begin[open_] = open_[classes(key)]
+        rank[suffix] = begin[open_]
         reach *= 2
+    return order
 
 
 def boundaries(sa: np.ndarray, symbols: np.ndarray, separators: int, length: int) -> np.ndarray:
     """True at i where suffixes i - 1 and i of the suffix array agree in fewer than ``length``
     symbols. Symbols below ``separators`` occur once each and end a text."""
     n = len(sa)
-    place = np.empty(n, np.int64)
-    place[sa] = np.arange(n)
-    before = sa - 1                                   # the transform: the symbol before each suffix
+    place = np.empty(n, np.int32)
+    place[sa] = np.arange(n, dtype=np.int32)
+    before = sa - 1
     extends = (sa > 0) & (symbols[before] >= separators)
-    back = np.where(extends, place[before], -1)       # backward step; none over a text's end
+    char = np.where(extends, symbols[before] - separators, 0).astype(np.uint8)     # the transform
+    back = np.where(extends, place[before], -1).astype(np.int32)                   # backward step
     first = symbols[sa]
     known = np.zeros(n + 1, bool)
     known[0] = known[n] = True
@@ -183,18 +199,17 @@ def boundaries(sa: np.ndarray, symbols: np.ndarray, separators: int, length: int
             break
         size = hi - lo
         owner = np.repeat(np.arange(len(lo)), size)
-        rows = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + lo[owner]
-        target = back[rows]
-        real = target >= 0
-        target, owner = target[real], owner[real]
-        order = np.argsort(target)
-        target, owner = target[order], owner[order]
-        if not len(target):
+        rows = np.arange(len(owner)) + np.repeat(lo - (np.cumsum(size) - size), size)
+        real = back[rows] >= 0                        # nothing extends over a text's end
+        rows, owner = rows[real], owner[real]
+        if not len(rows):
             break
-        new = np.concatenate([[True], (target[1:] != target[:-1] + 1) | (owner[1:] != owner[:-1])
-                              | (first[target[1:]] != first[target[:-1]])])
-        lo = target[new]
-        hi = np.append(target[np.flatnonzero(new)[1:] - 1], target[-1]) + 1
+        symbol = char[rows]
+        order = np.argsort(symbol, kind="stable")     # by symbol, then by interval
+        symbol, owner, target = symbol[order], owner[order], back[rows[order]]
+        start = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (symbol[1:] != symbol[:-1])]))
+        lo = np.minimum.reduceat(target, start).astype(np.int64)
+        hi = lo + np.diff(np.append(start, len(target)))
         fresh = ~known[hi]                            # known ends: nothing new behind them
         lo, hi = lo[fresh], hi[fresh]
         known[hi] = True
