@@ -85,7 +85,7 @@ def identity_unique(v: Column, name: str) -> Column:
 
 
 def type_error(v: Column, name: str, kind: str) -> Column:
-    """TRUE when a present value has a type the source accessor rejects."""
-    k = _kind(v, name)
-    bad = {"number": ~_is_number(k), "timestamp": k != "STRING", "boolean": k != "BOOLEAN"}[kind]
-    return _present(v, name) & bad
+    """TRUE when a value is present but its typed reader cannot read it: another type,
+    a date that does not parse, a number the column cannot hold."""
+    read = {"number": as_decimal, "timestamp": as_timestamp, "boolean": as_boolean}[kind]
+    return _present(v, name) & read(v, name).isNull()

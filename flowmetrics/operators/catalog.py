@@ -34,12 +34,14 @@ def upsert_collections(catalog: DataFrame, discovered: DataFrame, now) -> DataFr
                         {"is_enabled": F.lit(True)})
 
 
-def set_access_status(catalog: DataFrame, project_ids: DataFrame, status: str) -> DataFrame:
-    """``UPDATE … SET access_status = s WHERE project_id = x`` for a set of ids."""
-    hit = project_ids.select("project_id", F.lit(True).alias("_hit"))
+def set_access_status(catalog: DataFrame, project_ids: DataFrame, status: str, now) -> DataFrame:
+    """Access status and discovery time of a set of ids (which may repeat)."""
+    hit = project_ids.select("project_id").distinct().withColumn("_hit", F.lit(True))
     return (catalog.join(hit, "project_id", "left")
             .withColumn("access_status",
                         F.when(F.col("_hit"), F.lit(status)).otherwise(F.col("access_status")))
+            .withColumn("last_discovered_utc",
+                        F.when(F.col("_hit"), ts_lit(now)).otherwise(F.col("last_discovered_utc")))
             .drop("_hit").select(*catalog.columns))
 
 

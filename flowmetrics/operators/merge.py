@@ -1,11 +1,13 @@
-"""Keyed upsert (``INSERT … ON CONFLICT``) as one full outer join.
+"""Keyed upsert (``INSERT … ON CONFLICT``): a left join for updates, an anti join for inserts.
 
 ``merge_by_key(current, incoming, keys, update_cols)`` returns
 unmatched current rows ∪ matched rows with ``update_cols`` taken from the
 incoming side (even when NULL, like ``SET c = EXCLUDED.c``) ∪ new rows.
 ``update_cols=[]`` is ``DO NOTHING``. Columns of ``current`` absent from
 ``incoming`` are filled from ``insert_defaults`` (or NULL) for new rows.
-One shuffle on the key; hot keys are split by AQE skew handling.
+``incoming`` holds at most one row per key. A small batch is broadcast into
+the left join by its measured size, so the current rows do not move; larger
+ones shuffle both sides, with Spark's skew handling.
 """
 
 from __future__ import annotations
@@ -21,28 +23,19 @@ def merge_by_key(current: DataFrame, incoming: DataFrame, keys: list[str],
     inc_cols = set(incoming.columns)
     updates = set(cols) - set(keys) if update_cols is None else set(update_cols)
     defaults = insert_defaults or {}
-    c = current.select(*[F.col(x).alias(f"_c_{x}") for x in cols], F.lit(True).alias("_c_hit"))
-    i = incoming.select(*[F.col(x).alias(f"_i_{x}") for x in incoming.columns],
-                        F.lit(True).alias("_i_hit"))
+    i = incoming.select(*[F.col(x).alias(f"_i_{x}") for x in incoming.columns], F.lit(True).alias("_hit"))
     cond = None
     for k in keys:
-        e = F.col(f"_c_{k}") == F.col(f"_i_{k}")
+        e = F.col(k) == F.col(f"_i_{k}")
         cond = e if cond is None else cond & e
-    j = c.join(i, cond, "full_outer")
-    in_cur = F.col("_c_hit").isNotNull()
-    in_inc = F.col("_i_hit").isNotNull()
-    out = []
-    for x in cols:
-        cur_v = F.col(f"_c_{x}")
-        inc_v = F.col(f"_i_{x}") if x in inc_cols else defaults.get(x, F.lit(None))
-        if x in keys:
-            v = F.coalesce(cur_v, F.col(f"_i_{x}"))
-        elif x in updates:
-            v = F.when(in_inc, inc_v).otherwise(cur_v)
-        else:
-            v = F.when(in_cur, cur_v).otherwise(inc_v)
-        out.append(v.cast(current.schema[x].dataType).alias(x))
-    return j.select(*out)
+    kept = current.join(i, cond, "left").select(*[
+        F.when(F.col("_hit"), F.col(f"_i_{x}") if x in inc_cols else defaults.get(x, F.lit(None)))
+        .otherwise(F.col(x)).cast(current.schema[x].dataType).alias(x) if x in updates and x not in keys else F.col(x)
+        for x in cols])
+    new = incoming.join(current.select(*keys), keys, "left_anti").select(*[
+        (F.col(x) if x in inc_cols else defaults.get(x, F.lit(None))).cast(current.schema[x].dataType).alias(x)
+        for x in cols])
+    return kept.unionByName(new)
 
 
 def dedupe_last(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:

@@ -17,9 +17,6 @@ class RunParams:
     as_of: dt.datetime = dt.datetime(2001, 12, 31, 12, 0, 0)
     # last day of the 91-day snapshot window (reference: CURRENT_DATE)
     snapshot_end: dt.date = dt.date(2001, 8, 1)
-    # calendar dimension range (reference: 2018-01-01 .. 2035-12-31)
-    calendar_start: dt.date = dt.date(1995, 1, 1)
-    calendar_end: dt.date = dt.date(2002, 12, 31)
     # length of the snapshot window in days before snapshot_end
     snapshot_days: int = 90
 

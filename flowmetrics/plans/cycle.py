@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import catalog as C
 from ..params import DEFAULT, RunParams
 from ..schemas import CATALOG_COLLECTIONS, CATALOG_PROJECTS
-from ..sources.store import KeyedTable, materialize
+from ..sources.store import KeyedTable, materialize, path_exists
 from . import dims as D
 from . import snapshot as SN
 from . import views as V
@@ -58,7 +58,7 @@ def transform(spark: SparkSession, root: str, raw: DataFrame,
     """Dimensions → fact → snapshot, with the stored tables as the current state."""
     dims_path = _path(root, "dimensions")
     current = None
-    if os.path.exists(dims_path):
+    if path_exists(spark, dims_path):
         stored = spark.read.parquet(dims_path)
         current = {s.name: D.from_stacked(s, stored) for s in D.ALL_DIMS}
     stacked = D.refresh_stacked(raw, D.stack_current(current, D.ALL_DIMS))
@@ -67,7 +67,7 @@ def transform(spark: SparkSession, root: str, raw: DataFrame,
     stacked.write.mode("overwrite").partitionBy("dim").parquet(dims_path)
     stored = spark.read.parquet(dims_path)
     dims = {s.name: D.from_stacked(s, stored) for s in D.ALL_DIMS}
-    dims["dim_date"] = D.dim_date(spark, params.calendar_start, params.calendar_end)
+    dims["dim_date"] = D.dim_date(spark, *D.data_calendar_bounds(raw))
 
     fact_path = _path(root, "fact_work_items")
     fact_work_items(raw, dims, params).select(*FACT_COLUMNS).write.mode("overwrite").parquet(fact_path)

@@ -224,7 +224,11 @@ def refresh(spec: DimSpec, current: DataFrame | None, raw: DataFrame) -> DataFra
 
 
 def data_calendar_bounds(raw: DataFrame) -> tuple[Column, Column]:
-    """Whole years covering the staging rows' created..changed dates."""
-    lo = raw.select(F.make_date(F.year(F.min("created_date")), F.lit(1), F.lit(1))).scalar()
-    hi = raw.select(F.make_date(F.year(F.max("changed_date")), F.lit(12), F.lit(31))).scalar()
+    """Whole years covering all dates of the staging rows. Years outside 1900..2199
+    do not stretch the calendar (at most 110,000 days); their items keep their
+    date keys and show up in the referential check."""
+    dates = ["created_date", "activated_date", "closed_date", "changed_date"]
+    year = lambda c: F.least(F.greatest(F.year(c), F.lit(1900)), F.lit(2199))
+    lo = raw.select(F.make_date(year(F.min(F.least(*dates))), F.lit(1), F.lit(1))).scalar()
+    hi = raw.select(F.make_date(year(F.max(F.greatest(*dates))), F.lit(12), F.lit(31))).scalar()
     return lo, hi

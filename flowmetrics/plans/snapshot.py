@@ -31,11 +31,9 @@ GROUP = ["project_key", "type_key", "state_key"]
 SNAPSHOT_KEY = ["snapshot_date_key", *GROUP]
 
 
-def window_bounds(params: RunParams) -> tuple[dt.date, dt.date] | None:
-    """Days of the window that exist in the (contiguous) calendar dimension."""
-    lo = max(params.snapshot_end - dt.timedelta(days=params.snapshot_days), params.calendar_start)
-    hi = min(params.snapshot_end, params.calendar_end)
-    return (lo, hi) if lo <= hi else None
+def window_bounds(params: RunParams) -> tuple[dt.date, dt.date]:
+    """First and last day of the window."""
+    return params.snapshot_end - dt.timedelta(days=params.snapshot_days), params.snapshot_end
 
 
 def _key(d: dt.date) -> int:
@@ -43,11 +41,7 @@ def _key(d: dt.date) -> int:
 
 
 def daily_flow_snapshot(fact: DataFrame, params: RunParams = DEFAULT) -> DataFrame:
-    bounds = window_bounds(params)
-    spark = fact.sparkSession
-    if bounds is None:
-        return spark.createDataFrame([], SNAPSHOT_SCHEMA)
-    lo, hi = bounds
+    lo, hi = window_bounds(params)
     lo_key, hi_key = _key(lo), _key(hi)
 
     groups = fact.groupBy(*GROUP).agg(

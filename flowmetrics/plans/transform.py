@@ -35,8 +35,8 @@ def build_dimensions(raw: DataFrame, params: RunParams = DEFAULT,
         # (cheaper than a folder per dim of tiny files)
         stacked = materialize(stacked.sortWithinPartitions("dim"), "dimensions")
     out = {s.name: D.from_stacked(s, stacked) for s in D.ALL_DIMS}
-    # the calendar is a bounded generator; no need to store it
-    out["dim_date"] = D.dim_date(raw.sparkSession, params.calendar_start, params.calendar_end)
+    # the calendar is generated over the years of the data; no need to store it
+    out["dim_date"] = D.dim_date(raw.sparkSession, *D.data_calendar_bounds(raw))
     return out
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import avg_round2, percentile_cont
+from ..functions.calendar import iso_day_of_week
 
 
 def _labels(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -23,12 +24,14 @@ def _labels(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
             .join(dims["dim_work_item_type"].select("type_key", "work_item_type"), "type_key"))
 
 
-def _weekly(fact: DataFrame, dims: dict[str, DataFrame], year_col) -> DataFrame:
-    d = dims["dim_date"].select(F.col("date_key").alias("closed_date_key"), year_col.alias("year"),
-                                "week_of_year", "full_date")
+def _weekly(fact: DataFrame, dims: dict[str, DataFrame], iso_year: bool) -> DataFrame:
     closed = fact.filter(F.col("is_closed") & (F.col("closed_date_key") != -1))
-    # the calendar has one row per day of a fixed range: a proven size bound
-    return (_labels(closed.join(F.broadcast(d), "closed_date_key"), dims)
+    # calendar columns follow from the day itself: no range of years can lose a closure
+    k = F.col("closed_date_key")
+    day = F.make_date(F.floor(k / 10000).cast("int"), F.floor(k / 100).cast("int") % 100, k % 100)
+    closed = closed.withColumn("full_date", day).withColumn("week_of_year", F.weekofyear("full_date"))
+    of_year = F.date_sub(F.col("full_date"), iso_day_of_week(F.col("full_date")) - 4) if iso_year else F.col("full_date")
+    return (_labels(closed.withColumn("year", F.year(of_year)), dims)
             .groupBy("year", "week_of_year", "project_name", "work_item_type")
             .agg(F.min("full_date").alias("week_start_date"),
                  F.count("work_item_id").alias("throughput_count"),
@@ -43,13 +46,12 @@ def _weekly(fact: DataFrame, dims: dict[str, DataFrame], year_col) -> DataFrame:
 
 
 def throughput_weekly(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    return _weekly(fact, dims, F.col("year"))
+    return _weekly(fact, dims, iso_year=False)
 
 
 def throughput_weekly_iso(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """ISO week-year grouping (a week never spans two groups)."""
-    iso_year = F.year(F.date_sub(F.col("full_date"), F.col("day_of_week") - 4))
-    return _weekly(fact, dims, iso_year)
+    return _weekly(fact, dims, iso_year=True)
 
 
 def flow_metrics_summary(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:

@@ -37,10 +37,15 @@ def register(name: str):
 
 
 def _raw(spark, sf_dir):
-    """The staging table, written once per query and read back."""
+    """The staging table, written once and read back: for queries of several stages."""
     return materialize(raw_work_items(spark, sf_dir, DEFAULT), "raw_work_items")
 
 
+def _rows(spark, sf_dir):
+    """The staging rows for queries that read them once: only the columns in use are computed."""
+    return raw_work_items(spark, sf_dir, DEFAULT)
+
+
 def _star(spark, sf_dir):
     star = build_star(_raw(spark, sf_dir), DEFAULT)
     return star.raw, star.dims, star.fact
@@ -49,19 +54,19 @@ def _star(spark, sf_dir):
 # ----------------------------------------------------------------- staging level
 @register("staging_count")
 def q_staging_count(spark, sf_dir):
-    return _raw(spark, sf_dir).agg(F.count(F.lit(1)).alias("raw_count"))
+    return _rows(spark, sf_dir).agg(F.count(F.lit(1)).alias("raw_count"))
 
 
 @register("type_category")
 def q_type_category(spark, sf_dir):
-    return (_raw(spark, sf_dir).groupBy("work_item_type")
+    return (_rows(spark, sf_dir).groupBy("work_item_type")
             .agg(F.count(F.lit(1)).alias("n"))
             .withColumn("category", type_category(F.col("work_item_type"))))
 
 
 @register("state_category")
 def q_state_category(spark, sf_dir):
-    return (_raw(spark, sf_dir).groupBy("state")
+    return (_rows(spark, sf_dir).groupBy("state")
             .agg(F.count(F.lit(1)).alias("n"))
             .withColumn("state_category", state_category(F.col("state")))
             .withColumn("dim_category", dim_state_category(F.col("state"))))
@@ -69,7 +74,7 @@ def q_state_category(spark, sf_dir):
 
 @register("flow_durations")
 def q_flow_durations(spark, sf_dir):
-    r = _raw(spark, sf_dir)
+    r = _rows(spark, sf_dir)
     c, a, x = F.col("created_date"), F.col("activated_date"), F.col("closed_date")
     return r.select(F.col("id").alias("work_item_id"),
                     dur.lead_time(c, x).alias("lead_time_days"),
@@ -79,7 +84,7 @@ def q_flow_durations(spark, sf_dir):
 
 @register("wip_age")
 def q_wip_age(spark, sf_dir):
-    r = _raw(spark, sf_dir)
+    r = _rows(spark, sf_dir)
     cat = dim_state_category(F.col("state"))
     return r.select(F.col("id").alias("work_item_id"),
                     dur.wip_age(cat, F.col("created_date"), F.col("activated_date"),
@@ -88,7 +93,7 @@ def q_wip_age(spark, sf_dir):
 
 @register("item_flags")
 def q_item_flags(spark, sf_dir):
-    r = _raw(spark, sf_dir)
+    r = _rows(spark, sf_dir)
     cat = dim_state_category(F.col("state"))
     return r.select(F.col("id").alias("work_item_id"),
                     dur.is_closed(cat, F.col("closed_date")).alias("is_closed"),
@@ -106,7 +111,7 @@ def q_dim_date(spark, sf_dir):
 def _dim_query(spec):
     def q(spark, sf_dir):
         # surrogate keys only identify (their order is arbitrary): compare members
-        return D.refresh_all(_raw(spark, sf_dir))[spec.name].drop(spec.key)
+        return D.refresh(spec, None, _raw(spark, sf_dir)).drop(spec.key)
     q.__name__ = f"q_{spec.name}"
     return q
 
@@ -179,13 +184,13 @@ EXPORT_PROJECT = "BUILDING"
 @register("export_project")
 def q_export_project(spark, sf_dir):
     from .plans.export import export_rows
-    return export_rows(_raw(spark, sf_dir), DEFAULT, EXPORT_PROJECT).drop("last_transformed_at_utc")
+    return export_rows(_rows(spark, sf_dir), DEFAULT, EXPORT_PROJECT).drop("last_transformed_at_utc")
 
 
 @register("export_projects")
 def q_export_projects(spark, sf_dir):
     from .plans.export import export_rows
-    return export_rows(_raw(spark, sf_dir), DEFAULT).drop("last_transformed_at_utc")
+    return export_rows(_rows(spark, sf_dir), DEFAULT).drop("last_transformed_at_utc")
 
 
 # ----------------------------------------------------------------- sources
@@ -193,7 +198,7 @@ def q_export_projects(spark, sf_dir):
 def q_map_fields(spark, sf_dir):
     """Staging rows rebuilt from their JSON payload alone."""
     from .sources.landing import map_records
-    raw = _raw(spark, sf_dir)
+    raw = _rows(spark, sf_dir)
     rec = raw.select("id", "rev", "url", F.col("fields_json").alias("fields"))
     return map_records(rec, ts_lit(DEFAULT.as_of)).drop("fields_json", "ingested_at_utc")
 
@@ -228,7 +233,7 @@ def q_semi_ids(spark, sf_dir):
     from .sources.tables import table
     req = (table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
            .select(F.col("l_orderkey").alias("id")))
-    return _raw(spark, sf_dir).join(req, "id", "left_semi").select("id", "rev", "project_name", "state")
+    return _rows(spark, sf_dir).join(req, "id", "left_semi").select("id", "rev", "project_name", "state")
 
 
 # ----------------------------------------------------------------- watermarks
@@ -350,7 +355,7 @@ def q_catalog_upsert(spark, sf_dir):
     empty = spark.createDataFrame([], CATALOG_PROJECTS)
     first = C.upsert_projects(empty, _discovered(spark, sf_dir, "1998-01-01"), dt.datetime(1998, 1, 1))
     forbidden = first.filter(F.col("collection_name") == FORBIDDEN_COLLECTION).select("project_id")
-    first = C.set_access_status(first, forbidden, C.FORBIDDEN)
+    first = C.set_access_status(first, forbidden, C.FORBIDDEN, dt.datetime(1998, 1, 1))
     now = DEFAULT.as_of
     return C.upsert_projects(first, _discovered(spark, sf_dir), now).drop("last_discovered_utc")
 
@@ -455,8 +460,8 @@ def q_cumulative_flow(spark, sf_dir):
 
 @register("discovery_read")
 def q_discovery_read(spark, sf_dir):
-    """Catalog discovery documents (≤200 per page) read back: projects per
-    collection (first 1000 per collection response) with their collection."""
+    """Catalog discovery documents (≤200 per page) read back: all projects
+    with their collection."""
     from .sources.landing import discovery_documents, read_collections, read_projects
     disc = _discovered(spark, sf_dir)
     colls, projs = discovery_documents(disc.select("collection_name", "project_id", "project_name", "description"))

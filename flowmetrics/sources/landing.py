@@ -8,7 +8,7 @@ tables, so tests and benchmarks exercise the same read path.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fields as FX
@@ -41,7 +41,7 @@ def read_pages(documents: DataFrame, column: str = "document") -> DataFrame:
 
 def map_records(records: DataFrame, ingested_at) -> DataFrame:
     """``MapToEntity``: open record → the 28 typed staging columns."""
-    v = F.parse_json(F.col("fields"))
+    v = F.try_parse_json(F.col("fields"))
     unknown = F.lit("Unknown")
     s, i, d, t = FX.as_string, FX.as_int, FX.as_decimal, FX.as_timestamp
     cols = {
@@ -90,11 +90,20 @@ TYPED_FIELDS = [
 ]
 
 
+UNREADABLE = "unreadable JSON"
+
+
+def bad_fields(fields: str = "fields") -> Column:
+    """Names of the typed fields whose value is present but cannot be read; a payload
+    that is not JSON gives ``UNREADABLE``."""
+    v = F.try_parse_json(F.col(fields))
+    broken = F.when(F.col(fields).isNotNull() & v.isNull(), F.lit(UNREADABLE))
+    return F.array_compact(F.array(broken, *[F.when(FX.type_error(v, n, k), F.lit(n)) for n, k in TYPED_FIELDS]))
+
+
 def field_type_errors(records: DataFrame) -> DataFrame:
-    """Records whose typed fields hold wrongly typed values (quarantine)."""
-    v = F.parse_json(F.col("fields"))
-    bad = [F.when(FX.type_error(v, n, k), F.lit(n)) for n, k in TYPED_FIELDS]
-    return (records.select("id", "rev", F.array_compact(F.array(*bad)).alias("bad_fields"), "fields")
+    """Records whose typed fields hold unreadable values (quarantine)."""
+    return (records.select("id", "rev", bad_fields().alias("bad_fields"), "fields")
             .filter(F.size("bad_fields") > 0))
 
 
@@ -136,11 +145,10 @@ def id_list_documents(orders: DataFrame, page_size: int = MAX_PAGE) -> DataFrame
 
 # ------------------------------------------------------------------ discovery
 def read_projects(documents: DataFrame, collection_col: str = "collection_name",
-                  column: str = "document", top: int = 1000) -> DataFrame:
-    """Projects of one discovery response per collection (first ``top`` each)."""
+                  column: str = "document") -> DataFrame:
+    """All projects of the discovery responses of each collection."""
     env = documents.select(collection_col, F.from_json(F.col(column), PROJECTS_ENVELOPE).alias("e"))
-    return (env.select(collection_col, F.posexplode(F.col("e.value")).alias("pos", "p"))
-            .filter(F.col("pos") < top)
+    return (env.select(collection_col, F.explode(F.col("e.value")).alias("p"))
             .select(collection_col, F.col("p.id").alias("project_id"), F.col("p.name").alias("project_name"),
                     F.col("p.description").alias("description"), F.col("p.state").alias("state")))
 

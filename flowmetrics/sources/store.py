@@ -38,6 +38,12 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.parquet(path)
 
 
+def path_exists(spark, path: str) -> bool:
+    """Whether ``path`` exists in the store that it names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 class KeyedTable:
     """A Parquet table upserted by key, bucketed so a batch rewrites only the
     buckets it touches.
@@ -60,10 +66,7 @@ class KeyedTable:
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
 
     def exists(self) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(path)
+        return path_exists(self.spark, self.root)
 
     def read(self) -> DataFrame:
         if not self.exists():
@@ -86,6 +89,8 @@ class KeyedTable:
         if order_by:
             b = dedupe_last(b, self.keys, order_by).select(*cols)
         b = materialize(b.withColumn("_bucket", self._bucket()), "merge_batch")
+        if not order_by and b.groupBy(*self.keys).count().filter("count > 1").limit(1).count():
+            raise ValueError(f"the batch holds a key of {self.keys} more than once and no order to choose by")
         touched = b.select("_bucket").distinct()
         if self.exists():
             cur = (self.spark.read.schema(self._stored_schema()).parquet(self.root)

@@ -2,13 +2,16 @@
 
 ``readStream`` over a landing folder of page documents (JSON lines, one
 ``{count, value:[{id, rev, url, fields}]}`` envelope per line) → flatten →
-``foreachBatch``: map the open records to the typed staging columns, send
-wrongly typed records to a quarantine table, upsert the rest into the keyed
-staging table (last arrival wins, or latest ``rev`` with ``order_by``), and
-advance the per-project watermark (max changed date, records synced).
+``foreachBatch``: write the batch once, send each record that cannot be read
+to the quarantine, reduce the others to one record per id (the last arrival by
+file time, file and position; ``order_by=["rev"]`` puts the revision first),
+map them to the typed staging columns, upsert them into the keyed staging
+table, and advance the per-project watermark (max changed date, records
+synced).
 
-Replay safety: the streaming checkpoint re-runs only uncommitted batches and
-every write is an idempotent keyed merge, so a replayed batch changes
+Replay safety: the streaming checkpoint re-runs only uncommitted batches, the
+quarantine has a folder per stream and batch that a replay overwrites, and the
+staging and control writes are keyed merges, so a replayed batch changes
 nothing. ``availableNow`` drains what has landed and stops (a "sync now");
 ``processingTime`` polls, like the source's 300 s loop.
 """
@@ -16,6 +19,7 @@ nothing. ``availableNow`` drains what has landed and stops (a "sync now");
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +27,9 @@ from pyspark.sql import types as T
 
 from ..operators import watermark as WM
 from ..schemas import RAW_WORK_ITEMS, SYNC_WATERMARKS
-from ..sources.landing import field_type_errors, map_records
-from ..sources.store import KeyedTable
+from ..sources.landing import bad_fields, map_records
+from ..sources.store import KeyedTable, materialize
+from ..operators.merge import dedupe_last
 from ..functions.calendar import ts_lit
 
 # ``fields`` is an object in the documents; a string-typed schema keeps its JSON text
@@ -38,7 +43,9 @@ PAGE_FILE_SCHEMA = T.StructType([
     ]))),
 ])
 
-QUARANTINE_SCHEMA = "batch_id long, id long, rev int, bad_fields array<string>, fields string"
+# when a record arrived: time and name of its file, block of the file, row of the block
+ARRIVED = ["file_time", "file_name", "file_block"]
+ARRIVAL = [*ARRIVED, "block_row"]
 
 
 class Ingest:
@@ -52,20 +59,35 @@ class Ingest:
         self.control = KeyedTable(spark, control_root, SYNC_WATERMARKS, WM.KEYS, 8)
         self.quarantine_root = quarantine_root
         self.checkpoint_location = checkpoint_location
-        self.collection, self.entity, self.order_by = collection, entity, order_by
+        self.max_files_per_trigger = None
+        self.collection, self.entity, self.order_by = collection, entity, order_by or []
 
     def records(self) -> DataFrame:
-        pages = self.spark.readStream.schema(PAGE_FILE_SCHEMA).json(self.landing_dir)
-        return pages.select(F.explode("value").alias("r")).select("r.*")
+        reader = self.spark.readStream.schema(PAGE_FILE_SCHEMA)
+        if self.max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)
+        pages = reader.json(self.landing_dir)
+        return (pages.select(F.col("_metadata.file_modification_time").alias("file_time"),
+                             F.col("_metadata.file_path").alias("file_name"),
+                             F.col("_metadata.file_block_start").alias("file_block"),
+                             F.explode("value").alias("r"))
+                .select("r.*", *ARRIVED))
+
+    def _quarantine_path(self, batch_id: int) -> str:
+        """One folder per stream (its checkpoint) and batch."""
+        stream = hashlib.md5(self.checkpoint_location.encode()).hexdigest()[:12]
+        return f"{self.quarantine_root}/stream={stream}/batch_id={batch_id}"
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        bad = field_type_errors(batch)
-        (bad.select(F.lit(batch_id).alias("batch_id"), "id", "rev", "bad_fields", "fields")
-         .write.mode("append").parquet(self.quarantine_root))
-        good = batch.join(bad.select("id"), "id", "left_anti")
-        staged = map_records(good, ts_lit(now))
-        self.staging.merge(staged, order_by=self.order_by)
+        records = materialize(batch.withColumn("bad_fields", bad_fields())
+                              .withColumn("block_row", F.monotonically_increasing_id()), "landed_records")
+        bad = records.filter(F.size("bad_fields") > 0).select("id", "rev", "bad_fields", "fields")
+        bad.write.mode("overwrite").parquet(self._quarantine_path(batch_id))
+        good = records.filter((F.size("bad_fields") == 0) & F.col("id").isNotNull()).drop("bad_fields")
+        last = dedupe_last(good, ["id"], [*self.order_by, *ARRIVAL])
+        staged = materialize(map_records(last, ts_lit(now)), "staged_records")
+        self.staging.merge(staged)
         # watermark per project: max(previous, max changed date of this batch)
         synced = staged.select(F.lit(self.entity).alias("entity_name"),
                                F.lit(self.collection).alias("collection_name"),
@@ -79,6 +101,7 @@ class Ingest:
 
     def start(self, available_now: bool = True, processing_time: str = "300 seconds",
               max_files_per_trigger: int | None = None):
+        self.max_files_per_trigger = max_files_per_trigger
         src = self.records()
         w = (src.writeStream.foreachBatch(self.process_batch)
              .option("checkpointLocation", self.checkpoint_location))

@@ -48,7 +48,7 @@ def test_catalog_upsert_keeps_operator_columns(spark):
                                  "project_id string, collection_name string, project_name string, "
                                  "description string, state string")
     cat = C.upsert_projects(empty, disc, dt.datetime(2024, 1, 1))
-    cat = C.set_access_status(cat, spark.createDataFrame([("p1",)], "project_id string"), C.FORBIDDEN)
+    cat = C.set_access_status(cat, spark.createDataFrame([("p1",)], "project_id string"), C.FORBIDDEN, dt.datetime(2024, 1, 2))
     disc2 = spark.createDataFrame([("p1", "Other", "New", "d2", "wellFormed"), ("p2", "C", "B", None, "new")],
                                   "project_id string, collection_name string, project_name string, "
                                   "description string, state string")

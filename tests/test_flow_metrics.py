@@ -97,13 +97,8 @@ def test_weekly_groups_by_calendar_year_and_iso_week(spark):
     rows = [dict(id=i, state="Closed", created_date=d - dt.timedelta(days=1), closed_date=d, changed_date=d)
             for i, d in enumerate([dt.datetime(2018, 12, 31, 12), dt.datetime(2018, 1, 2, 12),
                                    dt.datetime(2021, 1, 1, 12)])]
-    params = RunParams(calendar_start=dt.date(2018, 1, 1), calendar_end=dt.date(2021, 12, 31))
-    star = build_star(raw_df(spark, rows), params, write=False)
+    star = build_star(raw_df(spark, rows), DEFAULT, write=False)
     got = {(r.year, r.week_of_year): r.throughput_count for r in V.throughput_weekly(star.fact, star.dims).collect()}
     assert got == {(2018, 1): 2, (2021, 53): 1}
     iso = {(r.year, r.week_of_year) for r in V.throughput_weekly_iso(star.fact, star.dims).collect()}
     assert iso == {(2019, 1), (2018, 1), (2020, 53)}
-
-
-def test_default_params_are_consistent():
-    assert DEFAULT.calendar_start <= DEFAULT.snapshot_end <= DEFAULT.calendar_end

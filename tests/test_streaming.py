@@ -73,3 +73,45 @@ def test_wrongly_typed_record_goes_to_quarantine(spark, tmp_dir):
     assert [r.id for r in ing.staging.read().collect()] == [1]
     q = spark.read.parquet(ing.quarantine_root).collect()
     assert [(r.id, r.bad_fields) for r in q] == [(2, ["Microsoft.VSTS.Common.Priority"])]
+
+
+def _record(i, rev, **fields):
+    return {"id": i, "rev": rev, "url": "u", "fields": {"System.TeamProject": "A", "System.ChangedDate": "2024-01-01T00:00:00Z"} | fields}
+
+
+def _write(folder, name, *records):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write(json.dumps({"count": len(records), "value": list(records)}) + "\n")
+
+
+def test_repeated_ids_bad_values_and_replay(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    _write(landing, "a.json", _record(1, 1), _record(4, 1, **{"Microsoft.VSTS.Common.Priority": "high"}),
+           _record(5, 1, **{"System.ChangedDate": "not a date"}),
+           _record(6, 1, **{"Microsoft.VSTS.Scheduling.StoryPoints": 1e12}), _record(7, 3), _record(7, 2))
+    _write(landing, "b.json", _record(1, 2), _record(4, 2))
+    os.utime(os.path.join(landing, "a.json"), (1, 1))
+    ing = Ingest(spark, landing, os.path.join(tmp_dir, "staging"), os.path.join(tmp_dir, "control"),
+                 os.path.join(tmp_dir, "quarantine"), os.path.join(tmp_dir, "ckpt"), buckets=4)
+    ing.run_available()
+    rows = {r.id: r.rev for r in ing.staging.read().collect()}
+    assert rows == {1: 2, 4: 2, 7: 2} and ing.staging.read().count() == 3       # the last arrival of each id
+    quarantined = lambda: sorted((r.id, r.rev) for r in spark.read.parquet(ing.quarantine_root).collect())
+    assert quarantined() == [(4, 1), (5, 1), (6, 1)]
+    batch = spark.read.schema("count int, value array<struct<id:bigint,rev:int,url:string,fields:string>>").json(landing)
+    batch = batch.select(F.lit(None).cast("timestamp").alias("file_time"), F.lit("f").alias("file_name"),
+                         F.lit(0).cast("long").alias("file_block"), F.explode("value").alias("r")).select(
+        "r.*", "file_time", "file_name", "file_block")
+    for _ in range(2):
+        ing.process_batch(batch, 0)
+    assert quarantined() == [(4, 1), (5, 1), (6, 1)] and ing.staging.read().count() == 3
+
+
+def test_merge_refuses_repeated_keys(spark, tmp_dir):
+    import pytest
+
+    from flowmetrics.sources.store import KeyedTable
+    df = spark.createDataFrame([(1, "a"), (1, "b")], "id long, v string")
+    with pytest.raises(ValueError):
+        KeyedTable(spark, os.path.join(tmp_dir, "t"), df.schema, ["id"], 2).merge(df)
