@@ -19,7 +19,9 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    """Queries of the optional subpackage may go without; SQL never stands alone."""
+    from flowmetrics.registry import REGISTRY
+    assert set(REGISTRY) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", ["weekly_throughput", "daily_snapshot", "fact_work_items", "dim_member",
