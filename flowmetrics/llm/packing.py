@@ -22,8 +22,10 @@ piece. Only doc_id and text are read.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,8 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 GRAIN = 8
 BINS = CAPACITY // GRAIN
-MEMO_WORDS = 300_000
+MEMO_KEYS = 300_000
+MEMO_KEY_CHARS = 64
 ROWS_PER_BUCKET = 4_096
 MAX_BUCKETS = 1_024
 MAX_COLUMNS = 3_000
@@ -48,33 +51,68 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 class Encoder:
-    """Little-endian 32-bit ids of whole texts. The tokenizer drops white space
-    and never joins across it, so blank-separated words are encoded once and
-    remembered (a bounded table)."""
+    """Little-endian 32-bit ids of whole texts.
+
+    The tokenizer lowers case, drops white space and never joins across it, and
+    its vocabulary is applied to one letter run, digit or sign run at a time. In
+    words of ASCII alone those runs are found by ``RUN`` and remembered, so the
+    vocabulary is applied once per distinct run; words with other characters, or
+    with what may be a special token, go through the whole tokenizer and are
+    remembered as words. The table is bounded, and so are its keys.
+    """
+
+    # fixed values: the tokenizer file's split pattern and white space, within ASCII
+    RUN = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^ \t\n\x0b\x0c\ra-z0-9]+")
+    #: a blank-separated word that holds a character beyond ASCII or "<|"
+    OTHER = re.compile("((?<![^ \n\t\r])(?:(?!<\\|)[\x00-\x08\x0b\x0c\x0e-\x1f!-\x7f])*+[^ \n\t\r]+)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.memo: dict[str, bytes] = {}
-        self.blank = re.compile("[ \n\t\r]+")
+
+    def _ids(self, key: str) -> bytes:
+        """``key``: a run of an ASCII word, or a whole other word."""
+        if key.isascii() and key.isprintable() and "<|" not in key:
+            ids = [t.id for t in self.model.tokenize(key)]
+        else:
+            ids = self.tokenizer.encode(key, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, text: str) -> bytes:
-        words = self.blank.split(text)
-        missing = list({w for w in words if w not in self.memo})
-        if missing:
-            if len(self.memo) + len(missing) > MEMO_WORDS:
-                self.memo.clear()
-                missing = list(set(words))
-            for w, e in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False)):
-                self.memo[w] = np.asarray(e.ids, "<u4").tobytes()
-        return b"".join([self.memo[w] for w in words])
+        if text.isascii() and "<|" not in text:
+            keys = self.RUN.findall(text.lower())
+        else:
+            keys = []
+            for i, part in enumerate(self.OTHER.split(text)):    # ASCII words, then one other word, and so on
+                if i % 2:
+                    keys.append(part)
+                elif part != " ":
+                    keys += self.RUN.findall(part.lower())
+        memo = self.memo
+        try:
+            return b"".join(map(memo.__getitem__, keys))
+        except KeyError:
+            found = {k: self._ids(k) for k in set(keys) if k not in memo}
+        out = b"".join([found[k] if k in found else memo[k] for k in keys])
+        if len(memo) > MEMO_KEYS:
+            memo.clear()
+        memo.update((k, v) for k, v in found.items() if len(k) <= MEMO_KEY_CHARS)
+        return out
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One per worker process, so that its table serves all tasks there."""
+    return Encoder(path)
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """The pieces of every document: full sequences, then the remainder."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
-        encode = Encoder(tokenizer or public_tokenizers.path(TOKENIZER))
+        encode = encoder(tokenizer or public_tokenizers.path(TOKENIZER))
         end = END_ID.to_bytes(4, "little")
         for b in batches:
             out = []

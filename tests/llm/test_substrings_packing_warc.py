@@ -98,6 +98,18 @@ def test_packing_round_trip(spark):
     assert packing.pack(_docs(spark, [])).count() == 0
 
 
+def test_encoder_equals_the_tokenizer():
+    import public_tokenizers
+    path = public_tokenizers.path(packing.TOKENIZER)
+    encode, rng = packing.Encoder(path), random.Random(4)
+    parts = ["a", "It", "'S", "'d", "''s", "!'ve", "9", "é", "́", "İ", "ΟΔΟΣ", "<", "|", "<|endoftext|>", "<|x",
+             " ", "  ", "\n", "\t", "\x0b", "\x0c", "\x1c", "\x1f", "\x00", "\x7f", "\x85", "\xa0", "　", "½"]
+    texts = ["", "é" + "a" * 50_000, "<|" * 20_000] + ["".join(rng.choices(parts, k=rng.randint(1, 30))) for _ in range(3_000)]
+    for text in texts * 2:                       # the second time from the table
+        want = encode.tokenizer.encode(text, add_special_tokens=False).ids
+        assert encode(text) == np.array(want, "<u4").tobytes(), text[:200]
+
+
 def test_patterns_hold_every_piece():
     rng = random.Random(3)
     for _ in range(4):
