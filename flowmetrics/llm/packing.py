@@ -53,18 +53,25 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 class Encoder:
     """Little-endian 32-bit ids of whole texts.
 
-    The tokenizer lowers case, drops white space and never joins across it, and
-    its vocabulary is applied to one letter run, digit or sign run at a time. In
-    words of ASCII alone those runs are found by ``RUN`` and remembered, so the
+    The tokenizer composes characters, lowers case, drops white space and never
+    joins across it, and its vocabulary is applied to one letter run, digit or sign
+    run at a time. In words of ASCII and the accented Latin-1 letters, which are
+    composed already, those runs are found by ``RUN`` and remembered, so the
     vocabulary is applied once per distinct run; words with other characters, or
     with what may be a special token, go through the whole tokenizer and are
     remembered as words. The table is bounded, and so are its keys.
     """
 
-    # fixed values: the tokenizer file's split pattern and white space, within ASCII
-    RUN = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^ \t\n\x0b\x0c\ra-z0-9]+")
-    #: a blank-separated word that holds a character beyond ASCII or "<|"
-    OTHER = re.compile("((?<![^ \n\t\r])(?:(?!<\\|)[\x00-\x08\x0b\x0c\x0e-\x1f!-\x7f])*+[^ \n\t\r]+)")
+    # fixed values: the tokenizer file's split pattern and white space, within ASCII and the Latin-1 letters
+    RUN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|'(?:s|t|re|ve|m|ll|d)|[0-9]"
+                     "|[^ \t\n\x0b\x0c\ra-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+    #: what sends a text through ``OTHER``: "<|", or a character beyond ASCII and the Latin-1 letters
+    UNUSUAL = re.compile("[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]|<\\|")
+    #: a blank-separated word that holds such a character or "<|"
+    OTHER = re.compile("((?<![^ \n\t\r])(?:(?!<\\|)[\x00-\x08\x0b\x0c\x0e-\x1f!-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])*+"
+                       "[^ \n\t\r]+)")
+    # fixed values: the byte alphabet of the vocabulary; bytes without a printable Latin-1 sign stand from 256 on
+    BYTE_SIGNS = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -73,19 +80,19 @@ class Encoder:
         self.memo: dict[str, bytes] = {}
 
     def _ids(self, key: str) -> bytes:
-        """``key``: a run of an ASCII word, or a whole other word."""
-        if key.isascii() and key.isprintable() and "<|" not in key:
-            ids = [t.id for t in self.model.tokenize(key)]
-        else:
+        """``key``: a run of a usual word, or a whole other word."""
+        if self.UNUSUAL.search(key):
             ids = self.tokenizer.encode(key, add_special_tokens=False).ids
+        else:
+            ids = [t.id for t in self.model.tokenize(key.encode().decode("latin-1").translate(self.BYTE_SIGNS))]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, text: str) -> bytes:
-        if text.isascii() and "<|" not in text:
+        if not self.UNUSUAL.search(text):
             keys = self.RUN.findall(text.lower())
         else:
             keys = []
-            for i, part in enumerate(self.OTHER.split(text)):    # ASCII words, then one other word, and so on
+            for i, part in enumerate(self.OTHER.split(text)):    # usual words, then one other word, and so on
                 if i % 2:
                     keys.append(part)
                 elif part != " ":
