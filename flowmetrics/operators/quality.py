@@ -23,18 +23,20 @@ FACT_FKS = [
 def fk_orphans(fact: DataFrame, dims: dict[str, DataFrame], prefix: str = "fact_work_items") -> DataFrame:
     """One row per foreign key: number of fact rows whose key has no parent.
 
-    Each key column is first reduced to (key, rows) with a partial aggregate,
-    so only distinct keys are shuffled and anti-joined (a key holding a third
-    of the rows is one row after the map side).
+    One scan of the fact: each row is exploded into its key columns and reduced
+    to (column, key, rows) with a partial aggregate, so only distinct keys are
+    shuffled and anti-joined (a key holding a third of the rows is one row after
+    the map side). A NULL key has no parent.
     """
-    parts = []
-    for col, dim, key in FACT_FKS:
-        per_key = fact.groupBy(col).agg(F.count(F.lit(1)).alias("_rows"))
-        parent = dims[dim].select(F.col(key).alias(col))
-        n = (per_key.join(parent, col, "left_anti")
-             .agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("orphans")))
-        parts.append(n.select(F.lit(f"{prefix}.{col}").alias("fk_name"), "orphans"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    names = F.array(*[F.struct(F.lit(dim).alias("dim"), F.lit(f"{prefix}.{col}").alias("fk_name"),
+                               F.col(col).cast("long").alias("key")) for col, dim, _ in FACT_FKS])
+    per_key = (fact.select(F.explode(names).alias("k")).groupBy("k.dim", "k.fk_name", "k.key")
+               .agg(F.count(F.lit(1)).alias("rows")))
+    parents = None
+    for dim, key in dict.fromkeys((dim, key) for _, dim, key in FACT_FKS):
+        p = dims[dim].select(F.lit(dim).alias("dim"), F.col(key).cast("long").alias("key"))
+        parents = p if parents is None else parents.unionByName(p)
+    known = parents.withColumn("known", F.lit(True)).distinct()
+    # every foreign key keeps its row, also with no orphan
+    return (per_key.join(known, ["dim", "key"], "left").groupBy("fk_name")
+            .agg(F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("rows"))), F.lit(0)).alias("orphans")))

@@ -22,19 +22,10 @@ def scratch_path(df: DataFrame, name: str) -> str:
     return f"{root}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-# Row groups of the intermediate tables: small enough that a later scan splits
-# even a single-file table across all cores (Spark splits Parquet by row
-# group); large inputs have many files and split anyway.
-ROW_GROUP_BYTES = 4 * 1024 * 1024
-
-
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder in the shared checkpoint dir; read it back."""
     path = scratch_path(df, name)
-    w = df.write.mode("errorifexists").option("parquet.block.size", ROW_GROUP_BYTES)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
