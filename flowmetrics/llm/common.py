@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +33,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def per_worker(key: str, make: Callable[[], object]):
+    """``make()`` once per Python worker process. Module globals of this package are
+    copied with every task, so the object is kept in a module that the worker
+    registers itself."""
+    kept = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
+def slices(sizes: list, most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of consecutive rows whose sizes add up to ``most`` at the utmost, or one larger row."""
+    start = total = 0
+    for i, size in enumerate(sizes):
+        if i > start and total + size > most:
+            yield start, i
+            start, total = i, 0
+        total += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_rules, mixing, packing, quality, sharding, simhash, substrings, toxicity, warc
+from . import (alignment, exact_dedup, line_rules, mixing, packing, periodic_runs, quality, sharding, simhash, substrings,
+               token_counts, toxicity, warc)
 from .common import load, staged, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +78,46 @@ def op9_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@register
+def op11_merge_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(load(spark, sf_dir, "documents"))
+
+
+@register
+def op12_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_totals(load(spark, sf_dir, "documents"))
+
+
+def planted(doc_id: int | None, words: list[str]) -> list[str]:
+    """The words of one document in ten, by the hash of its id, made periodic from some
+    place on. A document without an id keeps its words."""
+    n = len(words)
+    if doc_id is None or not n:
+        return words
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@register
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of the planted words: their number, the longest, and hashes of all of them
+    and of the words that are left."""
+    found = periodic_runs.find_runs(load(spark, sf_dir, "documents"), prepare=planted)
+    # the greatest length, then the smallest start, then the smallest period
+    ranked = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    return found.withColumn("best", ranked).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("best.length * 1000 div -best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
