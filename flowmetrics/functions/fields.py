@@ -6,7 +6,7 @@ Reading rules of the source's field accessor, per target type:
             (a string's value, a number's digits, an object's JSON);
 * int     – an integer JSON literal within INT range, else NULL;
 * decimal – any JSON number, rounded to the column scale;
-* timestamp – an ISO-8601 string, converted to UTC;
+* timestamp – an ISO-8601 string, converted to UTC; one without an offset is UTC;
 * boolean – a JSON boolean.
 
 Where the source would throw (a string in a numeric field, …) the value is
@@ -63,13 +63,22 @@ def as_double(v: Column, name: str) -> Column:
 
 
 def as_timestamp(v: Column, name: str) -> Column:
-    s = F.when(_kind(v, name) == "STRING", F.try_variant_get(v, path(name), "string"))
+    s = with_offset(F.when(_kind(v, name) == "STRING", F.trim(F.try_variant_get(v, path(name), "string"))))
     # parse as an instant (offsets honoured), then take its UTC wall clock from
     # the epoch microseconds: no session-zone round trip (ambiguous at DST ends)
     instant = F.try_to_timestamp(s)
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), ts_lit("1970-01-01 00:00:00"))
 
 
+def with_offset(text: Column) -> Column:
+    """ISO text with an offset: a text that names none is UTC, in any session zone."""
+    date_only = text.rlike(r"^[+-]?\d+-\d{1,2}-\d{1,2}$")
+    zoned = text.rlike(r":.*([zZ]|[+-]\d{1,2}(:?\d{2}){0,2}|[A-Za-z]{2,}\S*)$")
+    minutes = text.rlike(r"[T ]\d{1,2}:\d{1,2}$")
+    return (F.when(date_only, F.concat(text, F.lit("T00:00:00Z"))).when(zoned, text)
+            .when(minutes, F.concat(text, F.lit(":00Z"))).otherwise(F.concat(text, F.lit("Z"))))
+
+
 def as_boolean(v: Column, name: str) -> Column:
     return F.when(_kind(v, name) == "BOOLEAN", F.try_variant_get(v, path(name), "boolean"))
 

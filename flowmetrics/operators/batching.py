@@ -1,9 +1,11 @@
 """Ordered id chunks of at most ``n`` (the source's 200-item request limit).
 
 ``batch = (row_number() over (partition by key order by id) - 1) div n``.
-A plain window needs one key's ids in one task; here a hot key's ids are
-numbered inside id-range buckets (bounded work per task) and shifted by the
-bucket offsets.
+A plain window needs one key's ids in one task. Here the rows are dealt by
+range of (key, id): Spark samples the values for the bounds, so the parts
+hold about equally many rows whatever the ids look like (one outlier id, hashes,
+a key with a third of all rows). Rows are numbered inside their part and shifted
+by the rows that the same key has in the parts before.
 """
 
 from __future__ import annotations
@@ -11,8 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.store import materialize
 
 MAX_BATCH = 200
+ROW_BITS = 33           # monotonically_increasing_id: part number above, row of the part below
 
 
 def clamp_batch_size(n: int) -> int:
@@ -22,45 +26,36 @@ def clamp_batch_size(n: int) -> int:
 def id_batches(df: DataFrame, batch_size: int = MAX_BATCH, id_col: str = "id",
                partition_cols: list[str] | None = None) -> DataFrame:
     """Add ``batch`` (0-based) to each row: consecutive ``batch_size`` ids in
-    ``id_col`` order per partition key. Order within a bucket is by id, and
-    buckets are contiguous id ranges (bucket = id range), so batches are
-    consecutive in id order."""
-    n = clamp_batch_size(batch_size)
-    parts = list(partition_cols or [])
-    ranked = ordered_rank(df, id_col, parts)
-    return ranked.withColumn("batch", F.floor((F.col("_pos") - 1) / n).cast("int")).drop("_pos")
+    ``id_col`` order per partition key."""
+    return chunks(df, clamp_batch_size(batch_size), id_col, partition_cols, "batch")
+
+
+def chunks(df: DataFrame, size: int, id_col: str, partition_cols: list[str] | None, label: str) -> DataFrame:
+    """Add the number ``label`` of each row's chunk of ``size`` rows, per key in ``id_col`` order."""
+    ranked = ordered_rank(df, id_col, list(partition_cols or []))
+    return ranked.withColumn(label, F.floor((F.col("_pos") - 1) / size).cast("int")).drop("_pos")
 
 
 def ordered_rank(df: DataFrame, id_col: str, parts: list[str]) -> DataFrame:
-    """1-based position of each row in ``id_col`` order within ``parts``.
+    """1-based position ``_pos`` of each row in ``id_col`` order within ``parts``.
 
-    Rows go to range buckets of the id (contiguous id ranges per key, bounds
-    from a per-key min/max aggregate), are numbered inside their bucket in
-    parallel and shifted by the sizes of the lower buckets; no single task
-    holds a whole key's ids.
+    The dealt rows are written once, so that their numbers stand; the table of
+    (key, part) counts that is joined back has at most one row per part and key.
     """
-    spark = df.sparkSession
-    nb = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if parts:
-        bounds = df.groupBy(*parts).agg(F.min(id_col).alias("_lo"), F.max(id_col).alias("_hi"))
-        j = df.join(bounds, parts)
-    else:
-        j = df.select("*", df.select(F.min(id_col)).scalar().alias("_lo"),
-                      df.select(F.max(id_col)).scalar().alias("_hi"))
-    # in DOUBLE: monotonic in the id (buckets stay contiguous ranges) and no
-    # overflow for ids spanning the whole long range (e.g. hashes)
-    lo, hi = F.col("_lo").cast("double"), F.col("_hi").cast("double")
-    width = F.greatest((hi - lo + 1) / nb, F.lit(1.0))
-    j = j.withColumn("_rb", F.least(F.floor((F.col(id_col).cast("double") - lo) / width).cast("int"),
-                                    F.lit(nb - 1))).drop("_lo", "_hi")
-    numbered = j.withColumn("_rn", F.row_number().over(
-        Window.partitionBy(*parts, "_rb").orderBy(id_col)))
-    # one row per (key, bucket)
-    sizes = numbered.groupBy(*parts, "_rb").agg(F.max("_rn").alias("_size"))
-    before = Window.partitionBy(*parts).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*parts, "_rb", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_off"))
-    return (numbered.join(offsets, [*parts, "_rb"])
-            .withColumn("_pos", F.col("_off") + F.col("_rn")).drop("_rb", "_rn", "_off"))
-
-
-__all__ = ["MAX_BATCH", "clamp_batch_size", "id_batches", "ordered_rank"]
+    order = [*parts, id_col]
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    dealt = materialize(dealt.withColumn("_row", F.monotonically_increasing_id()), "ranked")
+    dealt = dealt.withColumn("_part", F.shiftright("_row", ROW_BITS))
+    # a key's rows of one part are neighbours there
+    sizes = dealt.groupBy(*parts, "_part").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy(*parts).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.select(*[F.col(c).alias(f"_of_{c}") for c in parts], F.col("_part").alias("_of_part"),
+                         (F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    same = F.col("_part") == F.col("_of_part")
+    for c in parts:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    return dealt.join(shift, same).withColumn("_pos", F.col("_row") + F.col("_shift")).select(*df.columns, "_pos")
+
+
+__all__ = ["MAX_BATCH", "chunks", "clamp_batch_size", "id_batches", "ordered_rank"]

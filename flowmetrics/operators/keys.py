@@ -35,18 +35,3 @@ def dense_index(df: DataFrame, order_cols: list[str], index_col: str,
     return (numbered.join(F.broadcast(offsets), [*groups, "_b"])
             .withColumn(index_col, (start_col + F.col("_offset") + F.col("_rn") - 1).cast("int"))
             .drop("_b", "_rn", "_offset"))
-
-
-def assign_new_keys(current: DataFrame, candidates: DataFrame, natural_key: list[str],
-                    key_col: str, known_max: int | None = None) -> DataFrame:
-    """Keys for members of ``candidates`` not yet in ``current``: max key + rank.
-
-    ``known_max`` skips the scalar subquery when the caller knows the maximum
-    (a freshly seeded dimension).
-    """
-    new = candidates.join(current.select(*natural_key), natural_key, "left_anti")
-    if known_max is not None:
-        start: Column | int = known_max + 1
-    else:
-        start = current.select(F.coalesce(F.max(key_col), F.lit(0))).scalar() + 1
-    return dense_index(new, natural_key, key_col, start=start)

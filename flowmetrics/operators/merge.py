@@ -5,47 +5,77 @@ unmatched current rows ∪ matched rows with ``update_cols`` taken from the
 incoming side (even when NULL, like ``SET c = EXCLUDED.c``) ∪ new rows.
 ``update_cols=[]`` is ``DO NOTHING``. Columns of ``current`` absent from
 ``incoming`` are filled from ``insert_defaults`` (or NULL) for new rows.
-``incoming`` holds at most one row per key. A small batch is broadcast into
-the left join by its measured size, so the current rows do not move; larger
-ones shuffle both sides, with Spark's skew handling.
+``incoming`` holds at most one row per key. ``newer`` names order columns: a
+matched row is updated only if the incoming order is not the earlier one (a
+missing order value counts as the earliest).
+
+Shape: the incoming rows are joined to the current ones from the right, so a
+batch under the broadcast threshold leaves the current rows where they are. The
+insert branch does not look at the whole target: the target is first reduced
+to the keys that the batch holds (a left-semi join, again with the batch on the
+broadcast side), and only those keys are anti-joined. There are never
+more of them than rows in the batch, so ``small_batch`` (the caller has
+counted the batch) broadcasts them too.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: A batch of so many rows at most has its keys broadcast (they are bounded by it).
+SMALL_BATCH_ROWS = 100_000
+
+
+def fresh_name(name: str, taken) -> str:
+    """``name``, lengthened until it clashes with no column of ``taken``."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
 
 def merge_by_key(current: DataFrame, incoming: DataFrame, keys: list[str],
                  update_cols: list[str] | None = None,
-                 insert_defaults: dict[str, Column] | None = None) -> DataFrame:
+                 insert_defaults: dict[str, Column] | None = None,
+                 newer: list[str] | None = None, small_batch: bool = False) -> DataFrame:
     cols = current.columns
     inc_cols = set(incoming.columns)
-    updates = set(cols) - set(keys) if update_cols is None else set(update_cols)
+    updates = set(cols) - set(keys) if update_cols is None else set(update_cols) - set(keys)
     defaults = insert_defaults or {}
-    i = incoming.select(*[F.col(x).alias(f"_i_{x}") for x in incoming.columns], F.lit(True).alias("_hit"))
-    cond = None
-    for k in keys:
-        e = F.col(k) == F.col(f"_i_{k}")
-        cond = e if cond is None else cond & e
-    kept = current.join(i, cond, "left").select(*[
-        F.when(F.col("_hit"), F.col(f"_i_{x}") if x in inc_cols else defaults.get(x, F.lit(None)))
-        .otherwise(F.col(x)).cast(current.schema[x].dataType).alias(x) if x in updates and x not in keys else F.col(x)
-        for x in cols])
-    new = incoming.join(current.select(*keys), keys, "left_anti").select(*[
-        (F.col(x) if x in inc_cols else defaults.get(x, F.lit(None))).cast(current.schema[x].dataType).alias(x)
-        for x in cols])
+    row = fresh_name("incoming", [*cols, *inc_cols])
+    batch = incoming.select(F.struct(*[F.col(x) for x in incoming.columns]).alias(row))
+    batch_keys = incoming.select(*keys)
+    if small_batch:
+        batch, batch_keys = F.broadcast(batch), F.broadcast(batch_keys)
+    joined = current.join(batch, reduce(Column.__and__, [F.col(k) == F.col(row)[k] for k in keys]), "left")
+    hit = F.col(row).isNotNull()
+    if newer:
+        hit = hit & (F.struct(*[F.col(row)[c] for c in newer]) >= F.struct(*[F.col(c) for c in newer]))
+
+    def incoming_value(x: str, of) -> Column:
+        return of(x) if x in inc_cols else defaults.get(x, F.lit(None))
+    kept = joined.select(*[
+        F.when(hit, incoming_value(x, lambda c: F.col(row)[c])).otherwise(F.col(x))
+        .cast(current.schema[x].dataType).alias(x) if x in updates else F.col(x) for x in cols])
+    found = current.select(*keys).join(batch_keys, keys, "left_semi")
+    if small_batch:
+        found = F.broadcast(found)
+    new = incoming.join(found, keys, "left_anti").select(*[
+        incoming_value(x, F.col).cast(current.schema[x].dataType).alias(x) for x in cols])
     return kept.unionByName(new)
 
 
 def dedupe_last(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """One row per key: the last by ``order_by`` (ties broken by all columns).
+    """One row per key: the last by ``order_by``, ties by all other columns.
 
     ``max_by`` over a struct aggregates partially before the shuffle, so a hot
     key costs one row per map partition, not one task holding the group.
     """
     rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*[F.col(c) for c in order_by])
-    row = F.struct(*[F.col(c) for c in rest])
-    return (df.groupBy(*keys).agg(F.max_by(row, order).alias("_row"))
-            .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]))
+    row = fresh_name("row", df.columns)
+    order = F.struct(*[F.col(c) for c in [*order_by, *(c for c in rest if c not in order_by)]])
+    return (df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias(row))
+            .select(*keys, *[F.col(row)[c].alias(c) for c in rest]))

@@ -20,23 +20,31 @@ FACT_FKS = [
 ]
 
 
-def fk_orphans(fact: DataFrame, dims: dict[str, DataFrame], prefix: str = "fact_work_items") -> DataFrame:
+def fk_orphans(fact: DataFrame, dims: dict[str, DataFrame], prefix: str = "fact_work_items",
+               calendars: dict[str, DataFrame] | None = None) -> DataFrame:
     """One row per foreign key: number of fact rows whose key has no parent.
 
     One scan of the fact: each row is exploded into its key columns and reduced
     to (column, key, rows) with a partial aggregate, so only distinct keys are
     shuffled and anti-joined (a key holding a third of the rows is one row after
-    the map side). A NULL key has no parent.
+    the map side). A NULL key has no parent. ``calendars`` adds further checks
+    (prefix → calendar) on the same counts. Every foreign key has its row, also
+    where the fact is empty.
     """
-    names = F.array(*[F.struct(F.lit(dim).alias("dim"), F.lit(f"{prefix}.{col}").alias("fk_name"),
-                               F.col(col).cast("long").alias("key")) for col, dim, _ in FACT_FKS])
-    per_key = (fact.select(F.explode(names).alias("k")).groupBy("k.dim", "k.fk_name", "k.key")
-               .agg(F.count(F.lit(1)).alias("rows")))
+    checks = {prefix: dims["dim_date"], **(calendars or {})}
+    names = F.array(*[F.struct(F.lit(dim).alias("dim"), F.lit(col).alias("fk"), F.col(col).cast("long").alias("key"))
+                      for col, dim, _ in FACT_FKS])
+    per_key = (fact.select(F.explode(names).alias("k")).groupBy("k.dim", "k.fk", "k.key")
+               .agg(F.count(F.lit(1)).alias("rows"))
+               .withColumn("check", F.explode(F.array(*[F.lit(c) for c in checks]))))
     parents = None
-    for dim, key in dict.fromkeys((dim, key) for _, dim, key in FACT_FKS):
-        p = dims[dim].select(F.lit(dim).alias("dim"), F.col(key).cast("long").alias("key"))
-        parents = p if parents is None else parents.unionByName(p)
-    known = parents.withColumn("known", F.lit(True)).distinct()
-    # every foreign key keeps its row, also with no orphan
-    return (per_key.join(known, ["dim", "key"], "left").groupBy("fk_name")
-            .agg(F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("rows"))), F.lit(0)).alias("orphans")))
+    for check, calendar in checks.items():
+        for dim, key in dict.fromkeys((dim, key) for _, dim, key in FACT_FKS):
+            of = calendar if dim == "dim_date" else dims[dim]
+            p = of.select(F.lit(check).alias("check"), F.lit(dim).alias("dim"), F.col(key).cast("long").alias("key"))
+            parents = p if parents is None else parents.unionByName(p)
+    orphans = per_key.join(parents, ["check", "dim", "key"], "left_anti").groupBy("check", "fk").agg(
+        F.sum("rows").alias("orphans"))
+    every = fact.sparkSession.createDataFrame([(c, fk) for c in checks for fk, _, _ in FACT_FKS], "check string, fk string")
+    return every.join(orphans, ["check", "fk"], "left").select(
+        F.concat_ws(".", "check", "fk").alias("fk_name"), F.coalesce("orphans", F.lit(0)).alias("orphans"))

@@ -72,6 +72,30 @@ def mark_failure(control: DataFrame, failures: DataFrame, now) -> DataFrame:
                          "created_at_utc": _ts(now)})
 
 
+def started_rows(control: DataFrame, keys: DataFrame, now) -> DataFrame:
+    """The rows of ``keys`` as ``mark_start`` leaves them, from one join."""
+    c = keys.select(*KEYS).join(control, KEYS, "left")
+    return c.select(*KEYS, F.coalesce("last_watermark_utc", _ts(EPOCH)).alias("last_watermark_utc"),
+                    _ts(now).alias("last_sync_start_utc"), "last_sync_end_utc", F.lit("RUNNING").alias("status"),
+                    F.coalesce("records_extracted_last_run", F.lit(0)).alias("records_extracted_last_run"),
+                    F.lit(None).cast("string").alias("error_message"),
+                    F.coalesce("created_at_utc", _ts(now)).alias("created_at_utc"), _ts(now).alias("updated_at_utc"))
+
+
+def ended_rows(control: DataFrame, outcome: DataFrame, started, now) -> DataFrame:
+    """The rows of a run's outcomes as ``mark_success`` and ``mark_failure`` leave them.
+    ``outcome``: keys, ``outcome_status``, ``new_watermark``, ``records``, ``failure``."""
+    c = outcome.join(control, KEYS, "left")
+    ok = F.col("outcome_status") == "SUCCESS"
+    return c.select(*KEYS, F.when(ok, F.col("new_watermark")).otherwise(F.coalesce("last_watermark_utc", _ts(EPOCH)))
+                    .alias("last_watermark_utc"),
+                    _ts(started).alias("last_sync_start_utc"), _ts(now).alias("last_sync_end_utc"),
+                    F.col("outcome_status").alias("status"),
+                    F.when(ok, F.col("records")).otherwise(F.coalesce("records_extracted_last_run", F.lit(0)))
+                    .cast("int").alias("records_extracted_last_run"), F.col("failure").alias("error_message"),
+                    F.coalesce("created_at_utc", _ts(started)).alias("created_at_utc"), _ts(now).alias("updated_at_utc"))
+
+
 def reset(control: DataFrame, entity: str) -> DataFrame:
     """Full resync: every watermark of ``entity`` back to the epoch."""
     return control.withColumn(
@@ -79,16 +103,18 @@ def reset(control: DataFrame, entity: str) -> DataFrame:
         F.when(F.col("entity_name") == entity, _ts(EPOCH)).otherwise(F.col("last_watermark_utc")))
 
 
+def is_news(changed: Column, watermark: Column) -> Column:
+    """Whether a change lies behind the watermark, cut to whole seconds (items of that
+    same second are read again; the upsert makes it harmless). No watermark, or
+    one at or before the epoch, means no filter."""
+    return watermark.isNull() | (watermark <= _ts(EPOCH)) | (changed > F.date_trunc("second", watermark))
+
+
 def changed_since(items: DataFrame, watermarks: DataFrame, key_cols: list[str],
                   wm_col: str = "last_watermark_utc") -> DataFrame:
-    """Items changed after their key's watermark, truncated to whole seconds
-    (items of that same second are read again; the upsert makes it harmless).
-    A watermark at or before the epoch means no filter."""
+    """Items that are news to their key's watermark (see ``is_news``)."""
     w = watermarks.select(*key_cols, F.col(wm_col).alias("_wm"))
-    j = items.join(w, key_cols, "left")
-    keep = (F.col("_wm").isNull() | (F.col("_wm") <= _ts(EPOCH))
-            | (F.col("changed_date") > F.date_trunc("second", F.col("_wm"))))
-    return j.filter(keep).drop("_wm")
+    return items.join(w, key_cols, "left").filter(is_news(F.col("changed_date"), F.col("_wm"))).drop("_wm")
 
 
 def advance(previous: DataFrame, synced: DataFrame, key_cols: list[str]) -> DataFrame:

@@ -1,15 +1,18 @@
 """One sync cycle in the source's phase order: discover → ingest → transform.
 
 * discover  – upsert collections and projects from discovery documents;
-* ingest    – drain landed pages for enabled projects into staging
-              (``streaming.ingest.Ingest``, ``availableNow``);
-* transform – dimensions (stored, refreshed incrementally), fact (full
-              recompute, stored), daily snapshot merged into the stored
-              snapshot (rows never deleted), views registered.
+* ingest    – one run over the landed responses of the enabled projects
+              (``streaming.ingest.Ingest``), with an outcome per project;
+* transform – dimensions (stored, refreshed incrementally), fact and snapshot
+              state maintained from the changed items (``plans.incremental``),
+              daily snapshot merged into the stored snapshot (rows never
+              deleted), views registered. With an empty staging table the
+              dimensions are refreshed and the rest is left as it is.
 
 Each table lives under ``root``; every stage reads what the previous wrote.
-A failed stage leaves the earlier tables as they were; re-running the cycle
-is safe because every write is a keyed merge or a full replacement.
+Tables that are replaced as a whole are written beside the one in use
+(``SlotTable``), so a failed stage leaves the earlier ones as they were; re-running
+the cycle is safe because every other write is a keyed merge.
 """
 
 from __future__ import annotations
@@ -23,20 +26,22 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import catalog as C
 from ..params import DEFAULT, RunParams
 from ..schemas import CATALOG_COLLECTIONS, CATALOG_PROJECTS
-from ..sources.store import KeyedTable, materialize, path_exists
+from ..sources.store import KeyedTable, SlotTable, materialize
+from ..streaming.ingest import Ingest
 from . import dims as D
 from . import snapshot as SN
 from . import views as V
-from .fact import FACT_COLUMNS, fact_work_items
+from .incremental import FlowStore
 
 SNAPSHOT_SCHEMA_DDL = SN.SNAPSHOT_SCHEMA
 
 
 @dataclasses.dataclass
 class CycleResult:
+    """``fact`` and ``snapshot`` are None where staging has never held a row."""
     dims: dict[str, DataFrame]
-    fact: DataFrame
-    snapshot: DataFrame
+    fact: DataFrame | None
+    snapshot: DataFrame | None
 
 
 def _path(root: str, name: str) -> str:
@@ -53,32 +58,34 @@ def discover(spark: SparkSession, root: str, collections: DataFrame, projects: D
     return C.enabled_projects(proj.read())
 
 
-def transform(spark: SparkSession, root: str, raw: DataFrame,
-              params: RunParams = DEFAULT) -> CycleResult:
-    """Dimensions → fact → snapshot, with the stored tables as the current state."""
-    dims_path = _path(root, "dimensions")
+def refresh_dimensions(spark: SparkSession, root: str, raw: DataFrame) -> dict[str, DataFrame]:
+    """The stored dimensions, with the members that staging brings."""
+    table = SlotTable(spark, _path(root, "dimensions"))
     current = None
-    if path_exists(spark, dims_path):
-        stored = spark.read.parquet(dims_path)
-        current = {s.name: D.from_stacked(s, stored) for s in D.ALL_DIMS}
-    stacked = D.refresh_stacked(raw, D.stack_current(current, D.ALL_DIMS))
-    # written to the checkpoint folder first: the stored table is an input
-    stacked = materialize(stacked, "dimensions")
-    stacked.write.mode("overwrite").partitionBy("dim").parquet(dims_path)
-    stored = spark.read.parquet(dims_path)
-    dims = {s.name: D.from_stacked(s, stored) for s in D.ALL_DIMS}
+    if table.exists():
+        current = {s.name: table.read(s.name) for s in D.ALL_DIMS}
+    stacked = materialize(D.refresh_stacked(raw, D.stack_current(current, D.ALL_DIMS)), "dimensions")
+    table.write(**{s.name: D.from_stacked(s, stacked) for s in D.ALL_DIMS})
+    dims = {s.name: table.read(s.name) for s in D.ALL_DIMS}
     dims["dim_date"] = D.dim_date(spark, *D.data_calendar_bounds(raw))
+    return dims
 
-    fact_path = _path(root, "fact_work_items")
-    fact_work_items(raw, dims, params).select(*FACT_COLUMNS).write.mode("overwrite").parquet(fact_path)
-    fact = spark.read.parquet(fact_path)
 
+def transform(spark: SparkSession, root: str, raw: DataFrame,
+              params: RunParams = DEFAULT) -> CycleResult:
+    """Dimensions → fact → snapshot, with the stored tables as the current state."""
+    dims = refresh_dimensions(spark, root, raw)
+    store = FlowStore(spark, root)
     snap_table = KeyedTable(spark, _path(root, "fact_daily_flow_snapshot"),
                             spark.createDataFrame([], SNAPSHOT_SCHEMA_DDL).schema, SN.SNAPSHOT_KEY, 16)
-    snap_table.merge(SN.daily_flow_snapshot(fact, params))
-    snapshot = snap_table.read()
+    if not raw.isEmpty():
+        store.apply(store.changed(raw), dims)
+        snap_table.merge(store.snapshot(params))
+    if not store.state.exists():
+        return CycleResult(dims, None, None)
+    fact = store.read_fact(params)
     register_views(dims, fact)
-    return CycleResult(dims, fact, snapshot)
+    return CycleResult(dims, fact, snap_table.read())
 
 
 def register_views(dims: dict[str, DataFrame], fact: DataFrame) -> None:
@@ -90,11 +97,10 @@ def register_views(dims: dict[str, DataFrame], fact: DataFrame) -> None:
 def run_cycle(spark: SparkSession, root: str, landing_dir: str,
               collections: DataFrame, projects: DataFrame,
               params: RunParams = DEFAULT, now: dt.datetime | None = None) -> CycleResult:
-    from ..streaming.ingest import Ingest
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     discover(spark, root, collections, projects, now)
     ing = Ingest(spark, landing_dir, _path(root, "raw_work_items"), _path(root, "sync_watermarks"),
-                 _path(root, "quarantine"), _path(root, "_ingest_checkpoint"))
+                 _path(root, "quarantine"), _path(root, "_ingest_checkpoint"),
+                 catalog_root=_path(root, "catalog_projects"), runs_root=_path(root, "runs"))
     ing.run_available()
-    raw = ing.staging.read()
-    return transform(spark, root, raw, params)
+    return transform(spark, root, ing.staging.read(), params)

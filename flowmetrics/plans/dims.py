@@ -34,6 +34,7 @@ def dim_date(spark: SparkSession, start, end, with_unknown: bool = True) -> Data
         F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias("full_date"))
     d = F.col("full_date")
     dow = cal.iso_day_of_week(d)
+    # fixed values: the calendar's columns
     out = days.select(
         (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).alias("date_key"),
         d,

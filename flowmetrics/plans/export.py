@@ -5,8 +5,7 @@ defaults (see ``functions.durations.export_*``): an unknown state is "In
 Progress" in the output column, but neither active nor exempt from ageing,
 and an empty state is treated like an unknown one. Durations are DOUBLE in
 the exported file (the export engine's type), holding the exactly rounded
-2-decimal value. A single project's export is range-partitioned on the id
-(part files in id order, no single task sorts everything).
+2-decimal value. Written files hold consecutive ids of one project (see ``_written``).
 """
 
 from __future__ import annotations
@@ -16,19 +15,10 @@ from pyspark.sql import functions as F
 
 from ..functions import durations as dur
 from ..functions.calendar import sprint_name, ts_lit
+from ..operators.batching import chunks
 from ..functions.classify import UNASSIGNED_DISPLAY, UNKNOWN_NAME, state_category, type_category
 from ..params import DEFAULT, RunParams
 
-EXPORT_COLUMNS = [
-    "work_item_id", "rev", "title", "project_name", "work_item_type", "work_item_category",
-    "state_name", "state_category", "iteration_path", "sprint_name", "area_path", "assigned_to",
-    "created_by", "created_date_utc", "activated_date_utc", "closed_date_utc", "changed_date_utc",
-    "lead_time_days", "cycle_time_days", "queue_time_days", "wip_age_days", "is_closed",
-    "is_active", "story_points", "original_estimate", "remaining_work", "completed_work",
-    "priority", "severity", "tags", "last_transformed_at_utc",
-]
-
-
 def export_rows(raw: DataFrame, params: RunParams = DEFAULT, project: str | None = None) -> DataFrame:
     r = raw if project is None else raw.filter(F.col("project_name") == F.lit(project))
     st, c, a, x = F.col("state"), F.col("created_date"), F.col("activated_date"), F.col("closed_date")
@@ -57,23 +47,29 @@ def export_rows(raw: DataFrame, params: RunParams = DEFAULT, project: str | None
     )
 
 
-def export_project(raw: DataFrame, project: str, output_path: str,
-                   params: RunParams = DEFAULT) -> str:
-    """``COPY (… WHERE project = p ORDER BY id) TO path (PARQUET, SNAPPY)``."""
-    rows = export_rows(raw, params, project)
-    (rows.repartitionByRange("work_item_id").sortWithinPartitions("work_item_id")
-     .write.mode("overwrite").option("compression", "snappy").parquet(output_path))
+ROWS_PER_FILE = 1_000_000
+
+
+def _written(rows: DataFrame, output_path: str, rows_per_file: int, by_project: bool) -> str:
+    """Files in id order: chunk ``k`` of a project holds its ``k`` th ``rows_per_file``
+    ids. A chunk is dealt to one task, which sorts by (project, id) and starts a new
+    file after ``rows_per_file`` rows; so a project's files do not overlap in their ids,
+    and all but its last are full. Chunks are equally large, however a project's share
+    of all rows is."""
+    dealt = (chunks(rows, rows_per_file, "work_item_id", ["project_name"], "_chunk")
+             .repartition("project_name", "_chunk").sortWithinPartitions("project_name", "work_item_id").drop("_chunk"))
+    writer = (dealt.write.mode("overwrite").option("compression", "snappy").option("maxRecordsPerFile", rows_per_file))
+    (writer.partitionBy("project_name") if by_project else writer).parquet(output_path)
     return output_path
 
 
-def export_all_projects(raw: DataFrame, output_path: str, params: RunParams = DEFAULT) -> str:
-    """All projects in one job, one folder per project (``project_name=…``).
+def export_project(raw: DataFrame, project: str, output_path: str,
+                   params: RunParams = DEFAULT, rows_per_file: int = ROWS_PER_FILE) -> str:
+    """``COPY (… WHERE project = p ORDER BY id) TO path (PARQUET, SNAPPY)``."""
+    return _written(export_rows(raw, params, project), output_path, rows_per_file, by_project=False)
 
-    No shuffle: each task sorts its rows by (project, id) and writes one
-    id-sorted file per project it holds.
-    """
-    rows = export_rows(raw, params)
-    (rows.sortWithinPartitions("project_name", "work_item_id")
-     .write.mode("overwrite").option("compression", "snappy")
-     .partitionBy("project_name").parquet(output_path))
-    return output_path
+
+def export_all_projects(raw: DataFrame, output_path: str, params: RunParams = DEFAULT,
+                        rows_per_file: int = ROWS_PER_FILE) -> str:
+    """All projects in one job, one folder per project (``project_name=…``)."""
+    return _written(export_rows(raw, params), output_path, rows_per_file, by_project=True)

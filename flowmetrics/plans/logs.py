@@ -1,7 +1,7 @@
 """Log events: append sink, day index and day slice.
 
 Logs are derived from the driver's ``events`` table (FIXTURES.md §4):
-``log_id = event_id``, level Error for ``error`` events else Information,
+``log_id = event_id``, level Error for ``error`` events, Debug for ``view`` events, else Information,
 ``source_context = event_type``, ``message = props``.
 """
 
@@ -18,8 +18,8 @@ LEVELS = ["Trace", "Debug", "Information", "Warning", "Error", "Critical"]
 def logs_from_events(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_id").alias("log_id"),
-        F.when(F.col("event_type") == "error", F.lit("Error")).otherwise(F.lit("Information"))
-        .alias("log_level"),
+        F.when(F.col("event_type") == "error", F.lit("Error")).when(F.col("event_type") == "view", F.lit("Debug"))
+        .otherwise(F.lit("Information")).alias("log_level"),
         F.col("event_type").alias("source_context"),
         F.col("props").alias("message"),
         F.lit(None).cast("string").alias("exception"),

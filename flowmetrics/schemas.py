@@ -77,15 +77,6 @@ CATALOG_COLLECTIONS = T.StructType([
     T.StructField("last_discovered_utc", T.TimestampNTZType()),
 ])
 
-SYSTEM_LOGS = T.StructType([
-    T.StructField("log_id", T.LongType(), False),
-    T.StructField("log_level", T.StringType(), False),
-    T.StructField("source_context", T.StringType()),
-    T.StructField("message", T.StringType(), False),
-    T.StructField("exception", T.StringType()),
-    T.StructField("created_at_utc", T.TimestampNTZType(), False),
-])
-
 # Open record as landed by the source: {id, rev, url, fields: {name: any}}.
 # ``fields`` stays a JSON string on read and becomes a VARIANT in mapping.
 PAGE_ENVELOPE = T.StructType([

@@ -1,9 +1,8 @@
-"""Landed source documents: record pages, id lists, discovery envelopes.
+"""Readers of landed source documents: record pages, id lists, discovery envelopes.
 
 The HTTP client of the source is not rebuilt; its responses are landed as
-JSON documents (one envelope per line) and read with declared schemas. The
-builders below derive such documents from the staging rows or the driver
-tables, so tests and benchmarks exercise the same read path.
+JSON documents (one envelope per line) and read with declared schemas. A
+document that is null, broken or has no list gives no row.
 """
 
 from __future__ import annotations
@@ -12,38 +11,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fields as FX
-from ..operators.batching import id_batches
-from ..schemas import (COLLECTIONS_ENVELOPE, ID_LIST_ENVELOPE, PAGE_ENVELOPE,
-                       PROJECTS_ENVELOPE, RAW_COLUMNS)
-
-MAX_PAGE = 200
+from ..schemas import COLLECTIONS_ENVELOPE, ID_LIST_ENVELOPE, PAGE_ENVELOPE, PROJECTS_ENVELOPE, RAW_COLUMNS
 
 
 # ------------------------------------------------------------------ record pages
-def pages_from_staging(raw: DataFrame, page_size: int = MAX_PAGE) -> DataFrame:
-    """``{count, value:[{id, rev, url, fields}]}`` documents, ≤ page_size records
-    each (pages per project in id order). Each page is a bounded group."""
-    b = id_batches(raw.select("id", "rev", "url", "project_name", "fields_json"),
-                   page_size, partition_cols=["project_name"])
-    rec = F.struct(F.col("id"), F.col("rev"), F.col("url"), F.col("fields_json").alias("fields"))
-    return (b.groupBy("project_name", "batch")
-            .agg(F.count(F.lit(1)).cast("int").alias("count"),
-                 F.sort_array(F.collect_list(rec)).alias("value"))
-            .select("project_name", "batch",
-                    F.to_json(F.struct("count", "value")).alias("document")))
-
-
 def read_pages(documents: DataFrame, column: str = "document") -> DataFrame:
     """Parse page documents and flatten them to one row per record."""
     env = documents.select(F.from_json(F.col(column), PAGE_ENVELOPE).alias("e"))
     return env.select(F.explode("e.value").alias("r")).select("r.*")
 
 
-def map_records(records: DataFrame, ingested_at) -> DataFrame:
-    """``MapToEntity``: open record → the 28 typed staging columns."""
+def map_records(records: DataFrame, ingested_at, keep: list[str] | None = None) -> DataFrame:
+    """Open record → the 28 typed staging columns (and the columns ``keep``)."""
     v = F.try_parse_json(F.col("fields"))
     unknown = F.lit("Unknown")
     s, i, d, t = FX.as_string, FX.as_int, FX.as_decimal, FX.as_timestamp
+    # fixed values: the source's field names, and the text for missing ones
     cols = {
         "id": F.col("id"), "rev": F.col("rev"), "url": F.col("url"),
         "project_name": F.coalesce(s(v, "System.TeamProject"), unknown),
@@ -73,7 +56,19 @@ def map_records(records: DataFrame, ingested_at) -> DataFrame:
         "fields_json": F.col("fields"),
         "ingested_at_utc": ingested_at,
     }
-    return records.select(*[cols[c].alias(c) for c in RAW_COLUMNS])
+    return records.select(*[cols[c].alias(c) for c in RAW_COLUMNS], *(keep or []))
+
+
+#: Reader of each kind of field.
+READERS = {"string": FX.as_string, "int": FX.as_int, "decimal": FX.as_decimal, "double": FX.as_double,
+           "timestamp": FX.as_timestamp, "boolean": FX.as_boolean}
+
+
+def read_fields(records: DataFrame, kinds: dict[str, tuple[str, str]], keep: list[str]) -> DataFrame:
+    """Fields outside the staging columns, typed: ``kinds`` is column → (field name,
+    kind of ``READERS``). A missing field or one of another type is NULL."""
+    v = F.try_parse_json(F.col("fields"))
+    return records.select(*keep, *[READERS[kind](v, name).alias(c) for c, (name, kind) in kinds.items()])
 
 
 # Fields with a typed reader that can reject a value (source would throw).
@@ -120,29 +115,6 @@ def read_id_lists(documents: DataFrame, column: str = "document") -> DataFrame:
             .distinct())
 
 
-def id_list_documents(orders: DataFrame, page_size: int = MAX_PAGE) -> DataFrame:
-    """Id-list responses from orders: open orders as flat lists; other orders as
-    link lists (order → the customer's first order). ≤ page_size refs each."""
-    first = orders.groupBy("o_custkey").agg(F.min("o_orderkey").alias("parent"))
-    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus").join(first, "o_custkey")
-    b = id_batches(o.withColumnRenamed("o_orderkey", "id"), page_size,
-                   partition_cols=["o_orderstatus"])
-    ref = lambda c: F.struct(F.col(c).alias("id"), F.lit(None).cast("string").alias("url"))
-    flat = F.struct(F.lit("flat").alias("queryType"), F.lit("workItem").alias("queryResultType"),
-                    F.lit(None).cast("string").alias("asOf"),
-                    F.collect_list(ref("id")).alias("workItems"),
-                    F.array().cast(ID_LIST_ENVELOPE["workItemRelations"].dataType).alias("workItemRelations"))
-    link = F.struct(F.lit("oneHop").alias("queryType"), F.lit("workItemLink").alias("queryResultType"),
-                    F.lit(None).cast("string").alias("asOf"),
-                    F.array().cast(ID_LIST_ENVELOPE["workItems"].dataType).alias("workItems"),
-                    F.collect_list(F.struct(F.lit("parent").alias("rel"), ref("id").alias("source"),
-                                            ref("parent").alias("target"))).alias("workItemRelations"))
-    g = b.groupBy("o_orderstatus", "batch")
-    return (g.agg(F.when(F.first("o_orderstatus") == "O", F.to_json(flat))
-                  .otherwise(F.to_json(link)).alias("document"))
-            .select("o_orderstatus", "batch", "document"))
-
-
 # ------------------------------------------------------------------ discovery
 def read_projects(documents: DataFrame, collection_col: str = "collection_name",
                   column: str = "document") -> DataFrame:
@@ -157,24 +129,3 @@ def read_collections(documents: DataFrame, column: str = "document") -> DataFram
     env = documents.select(F.from_json(F.col(column), COLLECTIONS_ENVELOPE).alias("e"))
     return env.select(F.explode("e.value").alias("c")).select(
         F.col("c.name").alias("collection_name"), F.col("c.description").alias("description"))
-
-
-def discovery_documents(geo_projects: DataFrame, page_size: int = MAX_PAGE) -> tuple[DataFrame, DataFrame]:
-    """Discovery responses from (collection_name, project_id, project_name,
-    description): one projects document per (collection, page), and one
-    collections document per page of collections."""
-    b = id_batches(geo_projects.withColumn("_ord", F.xxhash64("project_id")), page_size, "_ord",
-                   partition_cols=["collection_name"])
-    proj = F.struct(F.col("project_id").alias("id"), F.col("project_name").alias("name"),
-                    F.col("description"), F.lit("wellFormed").alias("state"), F.lit(1).cast("long").alias("revision"))
-    projects = (b.groupBy("collection_name", "batch")
-                .agg(F.to_json(F.struct(F.count(F.lit(1)).cast("int").alias("count"),
-                                        F.sort_array(F.collect_list(proj)).alias("value"))).alias("document")))
-    colls = geo_projects.select("collection_name").distinct()
-    cb = id_batches(colls.withColumn("_ord", F.xxhash64("collection_name")), page_size, "_ord")
-    coll = F.struct(F.col("collection_name").alias("id"), F.col("collection_name").alias("name"),
-                    F.lit(None).cast("string").alias("description"), F.lit("Started").alias("state"))
-    collections = (cb.groupBy("batch")
-                   .agg(F.to_json(F.struct(F.count(F.lit(1)).cast("int").alias("count"),
-                                           F.sort_array(F.collect_list(coll)).alias("value"))).alias("document")))
-    return collections, projects

@@ -13,6 +13,8 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
@@ -26,7 +28,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder in the shared checkpoint dir; read it back."""
     path = scratch_path(df, name)
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def path_exists(spark, path: str) -> bool:
@@ -35,14 +37,62 @@ def path_exists(spark, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+class SlotTable:
+    """A table that a run replaces as a whole, written beside the one in use.
+
+    Two folders take turns: ``write`` fills the one not in use, ``read`` takes
+    the complete one (Spark's ``_SUCCESS``) with the higher run number. A run
+    that fails while writing leaves the table as it was.
+    """
+
+    def __init__(self, spark, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _runs(self) -> dict[str, int]:
+        """Complete slots and their run numbers."""
+        out = {}
+        for slot in ("a", "b"):
+            if path_exists(self.spark, f"{self.root}/{slot}/_SUCCESS"):
+                out[slot] = self.spark.read.schema("run int").parquet(f"{self.root}/{slot}/run").first().run
+        return out
+
+    def exists(self) -> bool:
+        return bool(self._runs())
+
+    def folder(self) -> str:
+        runs = self._runs()
+        return f"{self.root}/{max(runs, key=runs.get)}"
+
+    def run(self) -> int:
+        """Number of the run that wrote the table in use; 0 where there is none."""
+        return max(self._runs().values(), default=0)
+
+    def read(self, part: str = "rows") -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder()}/{part}")
+
+    def write(self, **parts: DataFrame) -> None:
+        """Replace the table; its parts (``rows=…``) are folders of their own."""
+        runs = self._runs()
+        slot = "b" if runs and max(runs, key=runs.get) == "a" else "a"
+        path = f"{self.root}/{slot}"
+        fs = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(fs, True)
+        for name, df in parts.items():
+            df.write.mode("overwrite").parquet(f"{path}/{name}")
+        number = self.spark.range(1).selectExpr(f"{max(runs.values(), default=0) + 1} AS run")
+        number.write.mode("overwrite").parquet(f"{path}/run")
+        done = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        done.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).create(done, True).close()
+
+
 class KeyedTable:
     """A Parquet table upserted by key, bucketed so a batch rewrites only the
     buckets it touches.
 
     Layout: ``root/_bucket=<b>/…`` with ``b = pmod(xxhash64(keys), buckets)``.
-    ``merge(batch)`` reads the touched buckets (partition pruning through a
-    semi-join on ``_bucket``), merges with ``merge_by_key``, writes the result
-    to the shared checkpoint folder (the files being replaced are inputs of
+    ``merge(batch)`` reads the touched buckets (their numbers are literals of the
+    filter, so the scan lists no others), merges with ``merge_by_key``, writes the
+    result to the shared checkpoint folder (the files being replaced are inputs of
     the merge) and replaces just those buckets with a dynamic partition
     overwrite. Merges are idempotent: merging the same batch twice leaves the
     table as after the first time.
@@ -53,7 +103,6 @@ class KeyedTable:
         self.keys, self.buckets = list(keys), buckets
 
     def _bucket(self):
-        from pyspark.sql import functions as F
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
 
     def exists(self) -> bool:
@@ -65,31 +114,56 @@ class KeyedTable:
         return self.spark.read.schema(self._stored_schema()).parquet(self.root).drop("_bucket")
 
     def _stored_schema(self):
-        from pyspark.sql import types as T
         return T.StructType(self.schema.fields + [T.StructField("_bucket", T.IntegerType())])
 
+    def rows_of(self, keys: DataFrame) -> DataFrame:
+        """Stored rows whose key is among ``keys`` (a written table): only their buckets are read."""
+        touched = self._touched(keys.withColumn("_bucket", self._bucket()))
+        return self._buckets(touched).join(keys.select(*self.keys), self.keys, "left_semi")
+
+    def _touched(self, batch: DataFrame) -> list[int]:
+        """Buckets that the batch touches: at most ``buckets`` small numbers."""
+        return sorted(r._bucket for r in batch.select("_bucket").distinct().collect())
+
+    def _buckets(self, touched: list[int]) -> DataFrame:
+        if not self.exists() or not touched:
+            return self.spark.createDataFrame([], self.schema)
+        return (self.spark.read.schema(self._stored_schema()).parquet(self.root)
+                .filter(F.col("_bucket").isin(touched)).drop("_bucket"))
+
+    def merged(self, batch: DataFrame, touched: list[int], update_cols: list[str] | None = None,
+               newer: list[str] | None = None, rows: int | None = None) -> DataFrame:
+        """The touched buckets after the upsert of ``batch`` (of ``rows`` rows)."""
+        from ..operators.merge import SMALL_BATCH_ROWS, merge_by_key
+        return merge_by_key(self._buckets(touched), batch, self.keys, update_cols, newer=newer,
+                            small_batch=rows is not None and rows <= SMALL_BATCH_ROWS)
+
     def merge(self, batch: DataFrame, update_cols: list[str] | None = None,
-              order_by: list[str] | None = None) -> int:
+              order_by: list[str] | None = None, newer: list[str] | None = None, written: bool = False) -> int:
         """Upsert ``batch`` (last row per key by ``order_by`` wins); returns the
-        number of buckets rewritten."""
-        from pyspark.sql import functions as F
-
-        from ..operators.merge import dedupe_last, merge_by_key
+        number of buckets rewritten. With ``newer`` a stored row gives way only
+        to an incoming one that is not the earlier by those columns. ``written``:
+        the batch is a written table already."""
+        from ..operators.merge import dedupe_last
         cols = [f.name for f in self.schema.fields]
         b = batch.select(*cols)
         if order_by:
             b = dedupe_last(b, self.keys, order_by).select(*cols)
-        b = materialize(b.withColumn("_bucket", self._bucket()), "merge_batch")
-        if not order_by and b.groupBy(*self.keys).count().filter("count > 1").limit(1).count():
+        if order_by or not written:
+            b = materialize(b, "merge_batch")
+        per_key = b.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n")).withColumn("_bucket", self._bucket())
+        # one row of the numbers that decide: at most ``buckets`` of them
+        found = per_key.agg(F.max("n").alias("most"), F.sum("n").alias("rows"), F.collect_set("_bucket").alias("touched")).first()
+        if (found.most or 0) > 1:
             raise ValueError(f"the batch holds a key of {self.keys} more than once and no order to choose by")
-        touched = b.select("_bucket").distinct()
-        if self.exists():
-            cur = (self.spark.read.schema(self._stored_schema()).parquet(self.root)
-                   .join(touched, "_bucket", "left_semi").drop("_bucket"))
-        else:
-            cur = self.spark.createDataFrame([], self.schema)
-        merged = merge_by_key(cur, b.drop("_bucket"), self.keys, update_cols)
-        staged = materialize(merged.withColumn("_bucket", self._bucket()), "merge_result")
+        touched = sorted(found.touched)
+        if not touched:
+            return 0
+        merged = self.merged(b, touched, update_cols, newer, found.rows)
+        # a bucket's rows are dealt to a few writers, whatever tasks the merge had
+        writers = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // self.buckets)
+        spread = F.pmod(F.hash(*[F.col(k) for k in self.keys]), F.lit(writers))
+        staged = materialize(merged.withColumn("_bucket", self._bucket()).repartition("_bucket", spread), "merge_result")
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_bucket").parquet(self.root))
-        return touched.count()
+        return len(touched)

@@ -74,3 +74,59 @@ def test_sprint_name_rules(spark):
     from flowmetrics.functions.calendar import sprint_name
     df = spark.createDataFrame([("P\\Sprint 3",), ("P\\",), ("Backlog",)], "p string")
     assert [r.s for r in df.select(sprint_name(F.col("p")).alias("s")).collect()] == ["Sprint 3", "P\\", "Backlog"]
+
+
+def test_merge_with_clashing_names_and_newer_only(spark):
+    cur = spark.createDataFrame([(1, 5, "a"), (2, 5, "b"), (3, None, "c")], "k int, incoming int, _hit string")
+    inc = spark.createDataFrame([(1, 4, "old"), (2, 5, "same"), (3, 1, "new"), (4, 1, "ins")], "k int, incoming int, _hit string")
+    got = sorted(map(tuple, merge_by_key(cur, inc, ["k"], newer=["incoming"]).collect()))
+    assert got == [(1, 5, "a"), (2, 5, "same"), (3, 1, "new"), (4, 1, "ins")]
+    twice = merge_by_key(merge_by_key(cur, inc, ["k"]), inc, ["k"])
+    assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, inc.collect()))
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_one_row_batch_moves_no_target_row(spark, tmp_dir):
+    from flowmetrics.sources.store import KeyedTable
+    rows = spark.range(0, 50_000).select("id", F.lit("x").alias("v"))
+    table = KeyedTable(spark, tmp_dir + "/t", rows.schema, ["id"], 8)
+    table.merge(rows)
+    batch = spark.createDataFrame([(7, "y")], rows.schema)
+    stored = batch.withColumn("_bucket", table._bucket())
+    touched = table._touched(stored)
+    plan = _plan(table.merged(batch, touched, rows=1))
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line and "BroadcastExchange" not in line]
+    assert not exchanges and plan.count("BroadcastHashJoin") == 3
+    assert f"_bucket#" in plan and len(touched) == 1 and "PartitionFilters" in plan and f"({touched[0]})" in plan.replace(
+        f"= {touched[0]})", f"({touched[0]})")
+    table.merge(batch)
+    assert table.read().count() == 50_000 and table.read().filter("v = 'y'").collect()[0].id == 7
+
+
+def test_slot_table_survives_a_failed_write(spark, tmp_dir):
+    import pytest
+
+    from flowmetrics.sources.store import SlotTable
+    t = SlotTable(spark, tmp_dir + "/s")
+    assert not t.exists() and t.run() == 0
+    t.write(rows=spark.range(3))
+    t.write(rows=spark.range(5))
+    assert (t.read().count(), t.run()) == (5, 2)
+    with pytest.raises(Exception):
+        t.write(rows=spark.range(2).select(F.raise_error(F.lit("stop")).alias("x")))
+    assert (t.read().count(), t.run()) == (5, 2)
+    t.write(rows=spark.range(7))
+    assert (t.read().count(), t.run()) == (7, 3)
+
+
+def test_planner_sees_each_dimension_at_its_own_size(spark):
+    from flowmetrics.plans.transform import build_dimensions
+    from flowmetrics.sources.adapter import raw_work_items
+
+    from .conftest import SF_SMALL
+    dims = build_dimensions(raw_work_items(spark, SF_SMALL))
+    size = {n: int(d._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) for n, d in dims.items()}
+    assert size["dim_member"] > 2 * size["dim_work_item_type"]

@@ -8,18 +8,18 @@ from flowmetrics.operators.batching import clamp_batch_size, id_batches
 from flowmetrics.sources.landing import field_type_errors, map_records, read_id_lists
 
 RECORD = {
-    "System.TeamProject": "CoreBanking", "System.WorkItemType": "User Story",
-    "System.Title": "Implement OAuth Authentication", "System.State": "Closed", "System.Reason": "Completed",
-    "System.AssignedTo": {"displayName": "Ana", "uniqueName": "ana@bank.test"},
-    "System.CreatedBy": {"displayName": "Luis"},
+    "System.TeamProject": "Harbour", "System.WorkItemType": "User Story",
+    "System.Title": "Paint the north pier", "System.State": "Closed", "System.Reason": "Inspected",
+    "System.AssignedTo": {"displayName": "Mara", "uniqueName": "mara@harbour.test"},
+    "System.CreatedBy": {"displayName": "Olek"},
     "System.CreatedDate": "2024-01-10T10:00:00Z", "System.ChangedDate": "2024-01-15T18:30:00Z",
     "Microsoft.VSTS.Common.ActivatedDate": "2024-01-11T14:00:00Z",
     "Microsoft.VSTS.Common.ClosedDate": "2024-01-15T18:30:00Z",
     "Microsoft.VSTS.Scheduling.StoryPoints": 8, "Microsoft.VSTS.Scheduling.OriginalEstimate": 16,
     "Microsoft.VSTS.Scheduling.RemainingWork": 0, "Microsoft.VSTS.Scheduling.CompletedWork": 16,
     "Microsoft.VSTS.Common.Priority": 1, "Microsoft.VSTS.Common.Severity": "2 - High",
-    "System.AreaPath": "CoreBanking\\Security", "System.IterationPath": "CoreBanking\\Sprint 12",
-    "System.Tags": "Security; Authentication; Backend",
+    "System.AreaPath": "Harbour\\Piers", "System.IterationPath": "Harbour\\Sprint 12",
+    "System.Tags": "Paint; Weather",
 }
 
 
@@ -27,12 +27,12 @@ def test_map_record_to_typed_columns(spark):
     rec = spark.createDataFrame([(1, 3, "u", json.dumps(RECORD))], "id long, rev int, url string, fields string")
     r = map_records(rec, F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz")).first()
     assert (r.project_name, r.work_item_type, r.state, r.title) == (
-        "CoreBanking", "User Story", "Closed", "Implement OAuth Authentication")
-    assert (r.assigned_to_name, r.assigned_to_unique_name) == ("Ana", "ana@bank.test")
-    assert (r.created_by_name, r.created_by_unique_name) == ("Luis", "Luis")    # unique falls back
+        "Harbour", "User Story", "Closed", "Paint the north pier")
+    assert (r.assigned_to_name, r.assigned_to_unique_name) == ("Mara", "mara@harbour.test")
+    assert (r.created_by_name, r.created_by_unique_name) == ("Olek", "Olek")    # unique falls back
     assert r.created_date == dt.datetime(2024, 1, 10, 10) and r.state_change_date is None
     assert r.story_points == Decimal("8.00") and r.priority == 1 and r.severity == "2 - High"
-    assert r.iteration_path == "CoreBanking\\Sprint 12" and r.tags.startswith("Security")
+    assert r.iteration_path == "Harbour\\Sprint 12" and r.tags.startswith("Paint")
 
 
 def test_missing_and_mistyped_fields(spark):
@@ -67,3 +67,32 @@ def test_id_list_flat_then_links(spark):
             {"rel": "x", "source": {"id": 7}, "target": {"id": 9}}]}),),
     ], "document string")
     assert sorted(r.id for r in read_id_lists(docs).collect()) == [3, 5, 7, 9]
+
+
+def test_times_without_offset_are_utc_in_any_zone(spark):
+    from flowmetrics.functions.fields import as_timestamp
+    texts = ["2024-03-10T02:30:00", "2024-03-10 02:30:00.5", "2024-03-10", "2024-03-10T02:30:00Z", "2024-03-10T02:30:00+02:00",
+             " 2024-03-10T02:30 ", "2024-03-10T02:30:00-0330", "nonsense", ""]
+    df = spark.createDataFrame([(json.dumps({"f": t}),) for t in texts], "j string")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = [str(r.t) if r.t else None for r in
+               df.select(as_timestamp(F.try_parse_json("j"), "f").alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == ["2024-03-10 02:30:00", "2024-03-10 02:30:00.500000", "2024-03-10 00:00:00", "2024-03-10 02:30:00",
+                   "2024-03-10 00:30:00", "2024-03-10 02:30:00", "2024-03-10 06:00:00", None, None]
+
+
+def test_batches_with_an_outlier_id_stay_even(spark):
+    """One id at 2^60 does not put all others into one task."""
+    from flowmetrics.operators import batching as B
+    ids = spark.range(0, 20_000).select(F.col("id").alias("id")).unionByName(spark.sql("SELECT 1L << 60 AS id"))
+    got = {r.id: r.batch for r in id_batches(ids, 200).collect()}
+    want = {i: i // 200 for i in range(20_000)} | {1 << 60: 100}
+    assert got == want
+    dealt = ids.repartitionByRange(4, "id").groupBy(F.spark_partition_id()).count().collect()
+    assert len(dealt) == 4 and max(r["count"] for r in dealt) < 8_000
+    repeated = spark.createDataFrame([(5, "a"), (5, "a"), (7, "b"), (None, "b"), (6, None), (2, None)], "id long, p string")
+    ranked = sorted((str(r.p), r._pos) for r in B.ordered_rank(repeated, "id", ["p"]).collect())
+    assert ranked == [("None", 1), ("None", 2), ("a", 1), ("a", 2), ("b", 1), ("b", 2)]
