@@ -18,7 +18,9 @@ end of each new interval is a boundary where the common prefix is one shorter
 than the string; intervals that end at a known boundary are dropped. After
 LENGTH levels exactly the boundaries with common prefixes below LENGTH are
 known. What lies between two of them are equal windows; they are repeated if
-their contexts' counts sum to two or more.
+their contexts' counts sum to two or more. An owner with one distinct context that
+stands in several places differs from nothing and needs no index: each of its windows
+is repeated.
 
 *Hot owners.* Where the distinct contexts of one owner exceed
 ``OWNER_BYTES``, they are cut into their single windows, each keyed by a
@@ -31,14 +33,15 @@ positives cost a shuffle only.
 
 Defined results: a null text is empty; texts below LENGTH bytes are kept
 whole; repeated rows count as separate places; an empty table gives an empty
-result. Only doc_id and text are read; a document is told apart by doc_id
-and the CRC of its text, so ids may repeat.
+result. Only doc_id and text are read; a document is told apart by a 128-bit digest
+of doc_id and text, so ids may repeat. Long texts are hashed in overlapping slices.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +56,7 @@ GRAM = 48
 RUN = 256                       # windows of a run at most
 BLOCK_BYTES = 1 << 20
 OWNER_BYTES = 1 << 22
+SLICE = 1 << 20                 # windows of a text hashed at once
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX = 0xD6E8FEB86659FD93
 _WRAP = (1 << 64) - 1
@@ -118,24 +122,29 @@ def _utf8(column: pa.Array) -> Iterator[bytes]:
         yield t.as_buffer().to_pybytes() if t.is_valid else b""
 
 
+def sliced_anchors(data: bytes, hasher: GramHasher, length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """``anchors_of`` over slices of windows; a run across two slices is two runs of one owner."""
+    for low in range(0, len(data) - length + 1, SLICE):
+        value, starts, sizes, twice = anchors_of(data[low:low + SLICE + length - 1], hasher, length)
+        yield value, starts + low, sizes, twice
+
+
 def anchors(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(owner, doc_id, crc, run): run packs first window, windows - 1 and the twice flag."""
+    """(owner, doc, run): run packs first window, windows - 1 and the twice flag."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = GramHasher(gram)
         for b in batches:
             owner, run_, rows = [], [], []
-            for i, data in enumerate(_utf8(b.column(2))):
-                if len(data) >= length:
-                    value, starts, sizes, twice = anchors_of(data, hasher, length)
+            for i, data in enumerate(_utf8(b.column(1))):
+                for value, starts, sizes, twice in sliced_anchors(data, hasher, length):
                     owner.append(value)
                     run_.append(starts * (2 * RUN) + (sizes - 1) * 2 + twice)
                     rows.append(np.full(len(value), i))
             if rows:
-                at = pa.array(np.concatenate(rows))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(owner).view(np.int64)), b.column(0).take(at), b.column(1).take(at),
-                     pa.array(np.concatenate(run_).astype(np.int64))], names=["owner", "doc_id", "crc", "run"])
-    return docs.mapInArrow(run, "owner long, doc_id long, crc long, run long")
+                    [pa.array(np.concatenate(owner).view(np.int64)), b.column(0).take(pa.array(np.concatenate(rows))),
+                     pa.array(np.concatenate(run_).astype(np.int64))], names=["owner", "doc", "run"])
+    return docs.mapInArrow(run, "owner long, doc binary, run long")
 
 
 # ------------------------------------------------------------------ the index of a block
@@ -240,6 +249,11 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
 
 
+def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for b in batches:
+        yield from zip(*(c.to_pylist() for c in b.columns))
+
+
 def index_contexts(contexts: DataFrame, length: int = LENGTH) -> DataFrame:
     """(cid, first, last): repeated windows of each of ``contexts(owner, cid, context, n)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,50 +268,61 @@ def index_contexts(contexts: DataFrame, length: int = LENGTH) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(cid, pa.binary()), pa.array(first, pa.int32()),
                                                pa.array(last, pa.int32())], names=["cid", "first", "last"])
 
-        block, held = [], 0
-        for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns)):
-                if held >= BLOCK_BYTES and row[0] != block[-1][0]:
+        def lone(row: tuple) -> pa.RecordBatch:
+            """All windows of an owner's only context."""
+            return pa.RecordBatch.from_arrays([pa.array([row[1]], pa.binary()), pa.array([0], pa.int32()),
+                                               pa.array([len(row[2]) - length], pa.int32())], names=["cid", "first", "last"])
+
+        block, held, group, spared = [], 0, [], []
+        for row in chain(rows(batches), [None]):
+            if group and (row is None or row[0] != group[0][0]):         # an owner is complete
+                if len(group) == 1 and group[0][3] > 1:
+                    spared.append(lone(group[0]))
+                else:
+                    block += group
+                    held += sum(len(x[2]) for x in group)
+                group = []
+                if block and (held >= BLOCK_BYTES or row is None):
                     yield solve(block)
                     block, held = [], 0
-                block.append(row)
-                held += len(row[2])
-        if block:
-            yield solve(block)
+                if spared and (len(spared) >= 4_096 or row is None):
+                    yield pa.Table.from_batches(spared).combine_chunks().to_batches()[0]
+                    spared = []
+            if row is not None:
+                group.append(row)
     return (contexts.select("owner", "cid", "context", "n").repartition("owner").sortWithinPartitions("owner")
             .mapInArrow(run, "cid binary, first int, last int"))
 
 
 # ------------------------------------------------------------------ on Spark
 def _key() -> Column:
-    return F.xxhash64("doc_id", "crc")
+    """The Bloom filter's hash of a document."""
+    return F.xxhash64("doc")
 
 
 def _contexts(docs: DataFrame, hits: DataFrame, length: int) -> DataFrame:
-    """(owner, cid, context, doc_id, crc, start) of every run in ``hits``."""
-    per_doc = hits.groupBy("doc_id", "crc").agg(F.collect_list(F.struct("owner", "run")).alias("runs"))
+    """(owner, cid, context, doc, start) of every run in ``hits``."""
+    per_doc = hits.groupBy("doc").agg(F.collect_list(F.struct("owner", "run")).alias("runs"))
     blocks = filter_blocks(docs.count())
     wanted = staged(repeat_filter(hits.select(_key().alias("sha")).distinct(), blocks, 1), "hit_filter")
-    texts = with_repeat_flag(docs.withColumn("sha", _key()), wanted, blocks).filter("maybe_repeated").select(
-        F.col("doc_id").alias("_id"), F.col("crc").alias("_crc"), "text")
+    texts = with_repeat_flag(docs.withColumn("sha", _key()), wanted, blocks).filter("maybe_repeated").select("doc", "text")
     # rows that repeat in id and text hold their runs once each, so one text serves
-    texts = texts.dropDuplicates(["_id", "_crc"])
-    joined = texts.join(per_doc, texts["_id"].eqNullSafe(per_doc["doc_id"]) & (texts["_crc"] == per_doc["crc"]))
+    joined = texts.dropDuplicates(["doc"]).join(per_doc, "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["owner", "cid", "context", "doc_id", "crc", "start"]
+        names = ["owner", "cid", "context", "doc", "start"]
         for b in batches:
-            for i, data in enumerate(_utf8(b.column(2))):
-                runs = b.column(3)[i].values
+            for i, data in enumerate(_utf8(b.column(1))):
+                runs = b.column(2)[i].values
                 packed = runs.field("run").to_numpy(zero_copy_only=False)
                 start, size = packed // (2 * RUN), packed % (2 * RUN) // 2 + 1
                 context = [data[s:s + n + length - 1] for s, n in zip(start.tolist(), size.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [runs.field("owner"), pa.array([hashlib.md5(c).digest() for c in context], pa.binary()),
-                     pa.array(context, pa.binary()), pa.array([b.column(0)[i].as_py()] * len(context), pa.int64()),
-                     pa.array([b.column(1)[i].as_py()] * len(context), pa.int64()), pa.array(start)], names=names)
-    return joined.select("doc_id", "crc", "text", "runs").mapInArrow(
-        run, "owner long, cid binary, context binary, doc_id long, crc long, start long")
+                     pa.array(context, pa.binary()), pa.array([b.column(0)[i].as_py()] * len(context), pa.binary()),
+                     pa.array(start)], names=names)
+    return joined.select("doc", "text", "runs").mapInArrow(
+        run, "owner long, cid binary, context binary, doc binary, start long")
 
 
 def _index(distinct: DataFrame, length: int, owner_bytes: int) -> DataFrame:
@@ -320,24 +345,22 @@ def _index(distinct: DataFrame, length: int, owner_bytes: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, owner_bytes: int = OWNER_BYTES) -> DataFrame:
-    """(doc_id, crc, first, last): first and last byte of covered pieces of ``docs(doc_id,
-    crc, text)``; pieces may overlap."""
-    found = staged(anchors(docs.select("doc_id", "crc", "text"), length, gram), "anchors")
+    """(doc, first, last): first and last byte of covered pieces of ``docs(doc, text)``;
+    pieces may overlap."""
+    found = staged(anchors(docs.select("doc", "text"), length, gram), "anchors")
     twice = found.groupBy("owner").agg(F.sum(1 + F.col("run") % 2).alias("n")).filter("n > 1").select("owner")
     hits = staged(found.join(staged(twice, "owners"), "owner", "left_semi"), "hits")
-    contexts = staged(_contexts(docs, hits.dropDuplicates(["doc_id", "crc", "run"]), length), "contexts")
+    contexts = staged(_contexts(docs, hits.dropDuplicates(["doc", "run"]), length), "contexts")
     # rows that repeat in id and text are places of their own: their runs count each time
-    copies = hits.groupBy("doc_id", "crc", "run").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
-    copies = staged(copies.select(F.col("doc_id").alias("_id"), F.col("crc").alias("_crc"),
-                                  F.expr(f"run div {2 * RUN}").alias("_start"), "copies"), "row_copies")
-    counted = contexts.join(copies, contexts["doc_id"].eqNullSafe(copies["_id"]) & (contexts["crc"] == copies["_crc"])
-                            & (contexts["start"] == copies["_start"]), "left")
+    copies = hits.groupBy("doc", "run").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    copies = staged(copies.select("doc", F.expr(f"run div {2 * RUN}").alias("start"), "copies"), "row_copies")
+    counted = contexts.join(copies, ["doc", "start"], "left")
     distinct = staged(counted.groupBy("cid").agg(
         F.sum(F.coalesce("copies", F.lit(1))).alias("n"), F.first("owner").alias("owner"),
         F.first("context").alias("context")), "distinct_contexts")
     repeated = staged(_index(distinct, length, owner_bytes), "repeated")
-    return (contexts.select("cid", "doc_id", "crc", "start").join(repeated, "cid")
-            .select("doc_id", "crc", (F.col("start") + F.col("first")).alias("first"),
+    return (contexts.select("cid", "doc", "start").join(repeated, "cid")
+            .select("doc", (F.col("start") + F.col("first")).alias("first"),
                     (F.col("start") + F.col("last") + length - 1).alias("last")))
 
 
@@ -355,14 +378,15 @@ def _merged(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     text = text_or_empty()
-    return docs.select("doc_id", F.crc32(text.cast("binary")).alias("crc"), text.alias("text"))
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), text)
+    return docs.select("doc_id", F.unhex(F.md5(named.cast("binary"))).alias("doc"), text.alias("text"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, owner_bytes: int = OWNER_BYTES) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans
     (removed runs as [first, behind)). The remaining bytes follow from text and spans."""
     keyed = _keyed(docs)
-    spans = staged(repeated_spans(keyed, length, gram, owner_bytes).groupBy("doc_id", "crc").agg(
+    spans = staged(repeated_spans(keyed, length, gram, owner_bytes).groupBy("doc").agg(
         F.collect_set(F.struct("first", "last")).alias("pieces")), "spans")
     blocks = filter_blocks(docs.count())
     touched = staged(repeat_filter(spans.select(_key().alias("sha")), blocks, 1), "span_filter")
@@ -372,9 +396,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, owne
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"),
         F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
         F.array().cast("array<struct<first:bigint,behind:bigint>>").alias("spans"))
-    s = spans.select(F.col("doc_id").alias("_id"), F.col("crc").alias("_crc"), "pieces")
-    cut = flagged.filter("maybe_repeated").select("doc_id", "crc", "text")
-    cut = cut.join(s, cut["doc_id"].eqNullSafe(s["_id"]) & (cut["crc"] == s["_crc"]), "left").select("doc_id", "text", "pieces")
+    cut = flagged.filter("maybe_repeated").select("doc_id", "doc", "text")
+    cut = cut.join(spans, "doc", "left").select("doc_id", "text", "pieces")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -61,6 +61,48 @@ def test_repeated_rows_and_empty(spark):
     assert substrings.remove_repeats(_docs(spark, [])).count() == 0
 
 
+def test_texts_that_share_an_id_at_the_real_lengths(spark, monkeypatch):
+    """Null ids throughout, 200 bytes and 48-byte grams, long texts in slices: documents are
+    told apart by their whole text."""
+    rng = random.Random(8)
+    monkeypatch.setattr(substrings, "SLICE", 700)
+    passage = words(rng, 70)
+    texts = [words(rng, rng.randint(20, 200)) + rng.choice([passage, passage[:230], ""]) + words(rng, 90) for _ in range(25)]
+    texts += [texts[0], passage * 6, None, ""]
+    want = Counter(_removed(texts, 200).values())
+    out = substrings.remove_repeats(_docs(spark, texts, ids=[None] * len(texts)))
+    assert Counter(tuple(r)[1:5] for r in out.collect()) == want
+
+
+def test_workers_without_the_package(tmp_path):
+    """Task functions carry what they need: the workers' path holds no copy of the package."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})
+from flowmetrics.session import build_session
+from flowmetrics.llm import alignment, packing, periodic_runs, token_counts
+spark = build_session("local[2]", 2, extra={{"spark.executorEnv.PYTHONPATH": ""}})
+df = spark.createDataFrame([(1, "hello world hello"), (2, None)], "doc_id long, text string")
+assert packing.pack(df).count() == 2 and token_counts.count_tokens(df).count() == 2
+assert periodic_runs.find_runs(df).count() == 2 and alignment.alignment_totals(df).count() == 2
+def has(batches):
+    import importlib.util
+    import pyarrow as pa
+    for b in batches:
+        found = importlib.util.find_spec("flowmetrics") is not None
+        yield pa.RecordBatch.from_arrays([pa.array([found] * len(b))], names=["found"])
+print("package found by workers:", df.select("doc_id").mapInArrow(has, "found boolean").first().found)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2_000:]
+    assert "package found by workers: False" in done.stdout
+
+
 def test_index_against_counts():
     rng = random.Random(1)
     for _ in range(40):
