@@ -25,23 +25,25 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import power_of_two, staged
+from .common import per_worker, power_of_two, slices, staged
 
 CAPACITY = 2_048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 GRAIN = 8
 BINS = CAPACITY // GRAIN
-MEMO_KEYS = 300_000
+MEMO_KEYS = 400_000
 MEMO_KEY_CHARS = 64
+SLICE_BYTES = 4 << 20     # texts encoded at once
+WHITE = re.compile("[ \t\n\x0b\x0c\r]+")
 ROWS_PER_BUCKET = 4_096
 MAX_BUCKETS = 1_024
 MAX_COLUMNS = 3_000
@@ -55,83 +57,128 @@ class Encoder:
 
     The tokenizer composes characters, lowers case, drops white space and never
     joins across it, and its vocabulary is applied to one letter run, digit or sign
-    run at a time. In words of ASCII and the accented Latin-1 letters, which are
-    composed already, those runs are found by ``RUN`` and remembered, so the
-    vocabulary is applied once per distinct run; words with other characters, or
-    with what may be a special token, go through the whole tokenizer and are
-    remembered as words. The table is bounded, and so are its keys.
+    run at a time. Texts of ASCII and the accented Latin-1 letters, which are
+    composed already, are cut into words in Arrow, and only the distinct words of a
+    batch are looked up in a table of bounded size; the runs (``RUN``) of new words go
+    through the vocabulary together, each closed by ``MARK`` as the sign of a word's
+    end. Texts with other characters, or with what may be a special token, are split
+    by ``OTHER``, and their other words go through the whole tokenizer.
     """
 
     # fixed values: the tokenizer file's split pattern and white space, within ASCII and the Latin-1 letters
     RUN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|'(?:s|t|re|ve|m|ll|d)|[0-9]"
                      "|[^ \t\n\x0b\x0c\ra-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
-    #: what sends a text through ``OTHER``: "<|", or a character beyond ASCII and the Latin-1 letters
-    UNUSUAL = re.compile("[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]|<\\|")
+    #: what sends a text through ``OTHER``: "<|", ``MARK``, or a character beyond ASCII and the Latin-1 letters
+    UNUSUAL = re.compile("[^\x00-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]|<\\|")
     #: a blank-separated word that holds such a character or "<|"
-    OTHER = re.compile("((?<![^ \n\t\r])(?:(?!<\\|)[\x00-\x08\x0b\x0c\x0e-\x1f!-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])*+"
+    OTHER = re.compile("((?<![^ \n\t\r])(?:(?!<\\|)[\x00-\x08\x0b\x0c\x0e-\x1f!-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])*+"
                        "[^ \n\t\r]+)")
     # fixed values: the byte alphabet of the vocabulary; bytes without a printable Latin-1 sign stand from 256 on
     BYTE_SIGNS = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
+    WORD_END, MARK = "</w>", "\x7f"
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        vocab = self.tokenizer.get_vocab()
+        signs = {chr(self.BYTE_SIGNS.get(b, b)): b for b in range(256)}
+        special = set(self.tokenizer.get_added_tokens_decoder())
+        ranks, self.ends = {}, np.zeros(len(vocab) + 1, bool)
+        for token, i in vocab.items():
+            if i not in special:
+                ends = token.endswith(self.WORD_END)
+                spelled = bytes(signs[c] for c in (token.removesuffix(self.WORD_END) if ends else token))
+                if self.MARK.encode() not in spelled:          # runs hold no mark
+                    ranks[spelled + (self.MARK.encode() if ends else b"")] = i
+                    self.ends[i] = ends
+        ranks[self.MARK.encode()] = len(vocab)                # always joins the byte before it
+        for sign, b in signs.items():
+            ranks.setdefault(bytes([b]), vocab[sign])
+        #: ids are ranks here: bytes, bytes that end a word, then the merges in their order
+        self.bpe = tiktoken.Encoding("runs", pat_str=f"[^{self.MARK}]+{self.MARK}", mergeable_ranks=ranks, special_tokens={})
         self.memo: dict[str, bytes] = {}
 
-    def _ids(self, key: str) -> bytes:
-        """``key``: a run of a usual word, or a whole other word."""
-        if self.UNUSUAL.search(key):
-            ids = self.tokenizer.encode(key, add_special_tokens=False).ids
-        else:
-            ids = [t.id for t in self.model.tokenize(key.encode().decode("latin-1").translate(self.BYTE_SIGNS))]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def __call__(self, text: str) -> bytes:
-        if not self.UNUSUAL.search(text):
-            keys = self.RUN.findall(text.lower())
-        else:
-            keys = []
-            for i, part in enumerate(self.OTHER.split(text)):    # usual words, then one other word, and so on
-                if i % 2:
-                    keys.append(part)
-                elif part != " ":
-                    keys += self.RUN.findall(part.lower())
+    def _spelled(self, words: list[str]) -> list[bytes]:
+        """Ids of usual words in lower case."""
+        runs = [[w] if w.isalpha() else self.RUN.findall(w) for w in words]
+        flat = [r for rs in runs for r in rs]
+        if not flat:
+            return [b""] * len(words)
+        ids = np.array(self.bpe.encode_ordinary(self.MARK.join(flat) + self.MARK), "<u4")
+        ends = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])       # of the runs
+        if len(ends) != len(flat) + 1:
+            raise ValueError("a run of the vocabulary has no end of its own")
+        bounds = ends[np.cumsum([0] + [len(rs) for rs in runs])].tolist()
+        return [ids[s:e].tobytes() for s, e in zip(bounds[:-1], bounds[1:])]
+
+    def _looked_up(self, words: list[str]) -> list[bytes]:
         memo = self.memo
-        try:
-            return b"".join(map(memo.__getitem__, keys))
-        except KeyError:
-            found = {k: self._ids(k) for k in set(keys) if k not in memo}
-        out = b"".join([found[k] if k in found else memo[k] for k in keys])
-        if len(memo) > MEMO_KEYS:
+        missing = [w for w in words if w not in memo]
+        if len(memo) + len(missing) > MEMO_KEYS:
             memo.clear()
-        memo.update((k, v) for k, v in found.items() if len(k) <= MEMO_KEY_CHARS)
+            missing = words
+        found = dict(zip(missing, self._spelled(missing)))
+        out = [found[w] if w in found else memo[w] for w in words]
+        memo.update((w, ids) for w, ids in found.items() if len(w) <= MEMO_KEY_CHARS)
         return out
 
+    def _other(self, text: str) -> bytes:
+        out = []
+        for i, part in enumerate(self.OTHER.split(text)):    # usual words, then one other word, and so on
+            if i % 2 and self.UNUSUAL.search(part):
+                ids = self.tokenizer.encode(part, add_special_tokens=False).ids
+                out.append(struct.pack(f"<{len(ids)}I", *ids))
+            elif part != " ":
+                out += self._looked_up(WHITE.split(part.lower()))
+        return b"".join(out)
+
+    def _usual(self, texts: pa.Array) -> list[bytes]:
+        words = pc.ascii_split_whitespace(pc.utf8_lower(texts))
+        coded = words.flatten().dictionary_encode()
+        ids = self._looked_up(coded.dictionary.to_pylist())
+        size = np.array([len(x) // 4 for x in ids], np.int64)
+        flat, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        which = np.asarray(coded.indices)
+        n = size[which]
+        at = np.arange(int(n.sum())) + np.repeat(first[which] - (np.cumsum(n) - n), n)
+        joined = flat[at].tobytes()
+        offsets = np.asarray(words.offsets) - words.offsets[0].as_py()
+        bounds = (4 * np.concatenate([[0], np.cumsum(n)])[offsets]).tolist()
+        return [joined[s:e] for s, e in zip(bounds[:-1], bounds[1:])]
+
+    def batch(self, texts: pa.Array) -> list[bytes]:
+        """Ids of every text of a column without nulls."""
+        strings = texts.to_pylist()
+        usual = [not self.UNUSUAL.search(t) for t in strings]
+        found = iter(self._usual(texts.filter(pa.array(usual, pa.bool_())))) if any(usual) else iter(())
+        return [next(found) if u else self._other(t) for u, t in zip(usual, strings)]
 
-@lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
-    """One per worker process, so that its table serves all tasks there."""
-    return Encoder(path)
+    def __call__(self, text: str) -> bytes:
+        return self.batch(pa.array([text], pa.string()))[0]
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """The pieces of every document: full sequences, then the remainder."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
-        encode = encoder(tokenizer or public_tokenizers.path(TOKENIZER))
+        path = tokenizer or public_tokenizers.path(TOKENIZER)
+        encode = per_worker(f"packing encoder {path}", lambda: Encoder(path))
         end = END_ID.to_bytes(4, "little")
         for b in batches:
-            out = []
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = memoryview((encode(text.as_py()) if text.is_valid else b"") + end)
-                n = len(ids) // 4
-                out += [(doc_id, s, min(CAPACITY, n - s), zlib.crc32(ids[4 * s:4 * (s + CAPACITY)]), n)
-                        for s in range(0, n, CAPACITY)]
-            columns = list(zip(*out)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
-                                             names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-    return docs.select("doc_id", "text").mapInArrow(run, PIECES)
+            sizes = pc.fill_null(pc.binary_length(b.column(1)), 0).to_pylist()
+            for low, high in slices(sizes, SLICE_BYTES):
+                texts = pc.fill_null(b.column(1).slice(low, high - low), "")
+                out = []
+                for doc_id, ids in zip(b.column(0).slice(low, high - low).to_pylist(), encode.batch(texts)):
+                    ids = memoryview(ids + end)
+                    n = len(ids) // 4
+                    out += [(doc_id, s, min(CAPACITY, n - s), zlib.crc32(ids[4 * s:4 * (s + CAPACITY)]), n)
+                            for s in range(0, n, CAPACITY)]
+                columns = list(zip(*out)) or [()] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
+                                                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PIECES)
 
 
 # ------------------------------------------------------------------ cutting stock
