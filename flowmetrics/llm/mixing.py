@@ -22,8 +22,9 @@ one 65,536th of the ranking. What the rows join to has one row per source, or
 per source and length class.
 
 Defined results: a null text has size 0 and is never taken; an empty table
-gives an empty result. Rows equal in doc_id and text share their rank and are
-taken or left together. The input's columns ride along in ``mixed``.
+gives an empty result. Rows equal in doc_id and text share their rank; where the cut
+falls among them, as many of them are taken as fit. The input's columns ride along in
+``mixed``.
 """
 
 from __future__ import annotations
@@ -119,9 +120,9 @@ def _crossing(bins: DataFrame, bin_: str, room: str, by: str = "source") -> Data
 
 
 def _cuts(rated: DataFrame, room: DataFrame) -> DataFrame:
-    """(source, cut_rank, cut_tie): the last document that is taken, per source where
-    the ranking is cut at all. A source without a row here takes all or, with
-    ``none``, nothing of the ranking."""
+    """(source, cut_rank, cut_tie, cut_copies): the last document that is taken, per source
+    where the ranking is cut at all, and how many of its equal rows (null: all). A source
+    without a row here takes all of the ranking."""
     ranked = rated.filter("rank IS NOT NULL").select(
         "source", "size", "rank", "tie", F.floor(F.col("rank") * BINS * BINS).cast("int").alias("fine"))
     ranked = ranked.withColumn("coarse", F.shiftright("fine", 8))
@@ -140,14 +141,19 @@ def _cuts(rated: DataFrame, room: DataFrame) -> DataFrame:
     fine = staged(per_bin(within, "fine", coarse), "fine_cut")
     last = inside(within, "fine", fine)
     r = fine.select(F.col("source").alias("_s"), F.col("room").alias("_room"), F.col("fine").alias("_fine"))
+    equal = last.groupBy("source", "rank", "tie", "size").agg(F.count(F.lit(1)).alias("n"))
     w = W.partitionBy("source").orderBy("rank", "tie").rowsBetween(W.unboundedPreceding, W.currentRow)
-    taken = (last.withColumn("_to", F.sum("size").over(w)).join(r, last["source"].eqNullSafe(r["_s"]))
-             .filter(F.col("_to") - F.col("size") / 2 <= F.col("_room")))
-    chosen = taken.groupBy("source").agg(F.max(F.struct("rank", "tie")).alias("cut"))
+    equal = equal.withColumn("_from", F.sum(F.col("size") * F.col("n")).over(w) - F.col("size") * F.col("n"))
+    equal = equal.join(r, equal["source"].eqNullSafe(r["_s"]))
+    # a row is taken while at least half of it fits
+    fit = F.floor((F.col("_room") - F.col("_from")) / F.col("size") + 0.5).cast("long")
+    taken = equal.withColumn("fit", F.least(fit, F.col("n"))).filter("fit > 0")
+    chosen = taken.groupBy("source").agg(F.max(F.struct("rank", "tie", "fit", "n")).alias("cut"))
     c = chosen.select(F.col("source").alias("_s2"), "cut")
     return (fine.join(c, fine["source"].eqNullSafe(c["_s2"]), "left")
             .select("source", F.coalesce(F.col("cut.rank"), F.col("fine") / F.lit(float(BINS * BINS))).alias("cut_rank"),
-                    F.coalesce(F.col("cut.tie"), F.lit(-(1 << 63)).cast("long")).alias("cut_tie")))
+                    F.coalesce(F.col("cut.tie"), F.lit(-(1 << 63)).cast("long")).alias("cut_tie"),
+                    F.when(F.col("cut.fit") < F.col("cut.n"), F.col("cut.fit")).alias("cut_copies")))
 
 
 def plan(docs: DataFrame, seed: int = SEED) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -163,19 +169,42 @@ def plan(docs: DataFrame, seed: int = SEED) -> tuple[DataFrame, DataFrame, DataF
     room = staged(goals.join(c, goals["source"].eqNullSafe(c["_s"])).select(
         "source", (F.col("target") - F.col("certain")).alias("room")), "room")
     cuts = _cuts(rated, room)
-    k = cuts.select(F.col("source").alias("_s"), "cut_rank", "cut_tie")
+    k = cuts.select(F.col("source").alias("_s"), "cut_rank", "cut_tie", "cut_copies")
     goals = staged(goals.join(k, goals["source"].eqNullSafe(k["_s"]), "left").drop("_s"), "goals_with_cut")
     return goals, rates, rows
 
 
+def _numbered(df: DataFrame) -> DataFrame:
+    """``df`` with ``number``, 1, 2, ... per source: numbered inside the parts it is written
+    in and shifted by the parts before."""
+    df = staged(df.withColumn("_row", F.monotonically_increasing_id()), "equal_rows")
+    df = df.withColumn("_part", F.shiftright("_row", 33))
+    sizes = df.groupBy("source", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = W.partitionBy("source").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    shift = sizes.select(F.col("source").alias("_s"), F.col("_part").alias("_p"),
+                         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(W.partitionBy("source", "_part").orderBy("_row"))
+    df = df.withColumn("_inside", inside)
+    return (df.join(shift, df["source"].eqNullSafe(shift["_s"]) & (df["_part"] == shift["_p"]))
+            .withColumn("number", F.col("_before") + F.col("_inside"))
+            .drop("_row", "_part", "_s", "_p", "_before", "_inside"))
+
+
 def _copies(df: DataFrame, goals: DataFrame, rates: DataFrame) -> DataFrame:
     """``df`` (source, size, tie) with source_size, target and copies."""
     g = goals.withColumnRenamed("source", "_g")
     rated = _with_rates(_derived(df), rates)
     rated = rated.join(g, rated["source"].eqNullSafe(g["_g"])).drop("_g")
-    drawn = F.col("rank").isNotNull() & (F.col("cut_rank").isNull() | (
-        F.struct("rank", "tie") <= F.struct(F.col("cut_rank").alias("rank"), F.col("cut_tie").alias("tie"))))
-    return rated.withColumn("copies", F.col("whole") + drawn.cast("long"))
+    place = F.struct("rank", "tie")
+    cut = F.struct(F.col("cut_rank").alias("rank"), F.col("cut_tie").alias("tie"))
+    drawn = F.col("rank").isNotNull() & (F.col("cut_rank").isNull() | (place <= cut))
+    with_copies = lambda d, drawn: d.withColumn("copies", F.col("whole") + drawn.cast("long"))
+    if goals.filter("cut_copies IS NOT NULL").isEmpty():
+        return with_copies(rated, drawn)
+    split = F.col("cut_copies").isNotNull() & F.col("rank").isNotNull() & place.eqNullSafe(cut)
+    equal = _numbered(rated.filter(split))
+    return with_copies(rated.filter(~split), drawn).unionByName(
+        with_copies(equal, F.col("number") <= F.col("cut_copies")).drop("number"))
 
 
 def allocate(docs: DataFrame, seed: int = SEED) -> DataFrame:

@@ -86,6 +86,26 @@ def test_inclusion_follows_expected_copies(spark):
     assert rate[("b", longest)] > rate[("b", 2)]
 
 
+def test_copies_of_one_row_fill_the_target(spark):
+    """400 copies of one row, all in one place of the ranking, are taken one by one."""
+    rng = random.Random(3)
+    texts = [words(rng, 100)] * 400 + [words(rng, rng.randint(50, 150)) for _ in range(400)] + [words(rng, 90)] * 300
+    ids = [7] * 400 + list(range(100, 500)) + [8] * 300
+    sources = ["a"] * 800 + [None] * 300
+    df = _docs(spark, texts, sources=sources, ids=ids).selectExpr("*", "1 AS number", "2 AS fit")
+    runs = [mixing.allocate(d).collect() for d in (df, df.repartition(5))]
+    for source in ("a", None):
+        mine = [r for r in runs[0] if r["source"] == source]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 75
+    key = lambda rows: Counter((r["doc_id"], r["size"], r["copies"]) for r in rows)
+    assert key(runs[0]) == key(runs[1]) and len({c for i, _, c in key(runs[0]) if i == 8}) == 2
+    mix = mixing.mixed(df)
+    want = Counter()
+    for (i, _, c), n in key(runs[0]).items():
+        want[i] += c * n
+    assert mix.columns == df.columns and Counter(r["doc_id"] for r in mix.collect()) == +want
+
+
 @pytest.mark.parametrize("texts", [[], [None, ""], ["one two"]])
 def test_mixing_small(spark, texts):
     out = mixing.allocate(_docs(spark, texts)).collect()
@@ -145,6 +165,17 @@ def test_keep_one_repeated_rows(spark):
     assert simhash.keep_one(_docs(spark, [])).count() == 0
 
 
+def test_keep_one_keeps_every_column(spark):
+    df = spark.createDataFrame([(1, "same words in every row here", k, f"c{k % 2}", {"m": k}) for k in range(4)]
+                               + [(2, "quite other words stand over there", 9, "d", None)],
+                               "doc_id long, text string, _text_hash int, row string, extra map<string,int>")
+    out = [sorted(map(str, simhash.keep_one(d).collect())) for d in (df, df.repartition(3))]
+    assert simhash.keep_one(df).columns == df.columns and len(out[0]) == 2 and out[0] == out[1]
+    from flowmetrics.llm import exact_dedup
+    out = [sorted(map(str, exact_dedup.drop_exact_copies(d).collect())) for d in (df, df.repartition(3))]
+    assert len(out[0]) == 2 and out[0] == out[1]
+
+
 def _cloud(rng, n):
     """Chains and clusters of fingerprints at small distances among random ones."""
     fps = [rng.getrandbits(64) for _ in range(n // 2)]
