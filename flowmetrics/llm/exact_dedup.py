@@ -99,15 +99,16 @@ def exact_copies(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def drop_exact_copies(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with the row of the largest doc_id of each group of equal texts.
+    """``docs`` with the row of the largest doc_id of each group of equal texts; among
+    rows of one doc_id the last by text, then by all columns.
 
     Rows without a copy keep their place; only possibly repeated rows shuffle,
     after each task has kept its largest row per text."""
-    packed = docs.select(F.struct("*").alias("row"), F.struct("doc_id", "text").alias("rank"), digest().alias("sha"))
+    packed = docs.select(F.struct("*").alias("row"), digest().alias("sha"))
     hashes = staged(packed.select("sha"), "hashes")
     blocks = filter_blocks(hashes.count(), max_bits)
     flagged = with_repeat_flag(packed, staged(repeat_filter(hashes, blocks), "repeat_filter"), blocks)
     alone = flagged.filter("NOT maybe_repeated").select("row")
     best = (flagged.filter("maybe_repeated").groupBy("sha")
-            .agg(F.max_by("row", "rank").alias("row")).select("row"))
+            .agg(F.max_by("row", F.struct("row.doc_id", "row.text", F.to_json("row"))).alias("row")).select("row"))
     return alone.unionByName(best).select("row.*")

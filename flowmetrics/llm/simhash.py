@@ -241,9 +241,14 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE)
                   "best")
     losers = staged(groups.join(best, "root").filter(~rank.eqNullSafe(F.col("best")))
                     .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "losers")
-    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
-    kept = hashed.join(losers, hashed["doc_id"].eqNullSafe(losers["_id"])
-                       & (hashed["_text_hash"] == losers["_hash"]), "left_anti")
-    if groups.groupBy("doc_id", "text_hash").count().filter("count > 1").limit(1).count():
-        kept = kept.dropDuplicates(["doc_id", "_text_hash"])      # identical rows are copies too
-    return kept.drop("_text_hash")
+    packed = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"))
+    kept = packed.join(losers, packed["doc_id"].eqNullSafe(losers["_id"])
+                       & (packed["text_hash"] == losers["_hash"]), "left_anti")
+    twice = staged(groups.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                   .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), "equal_rows")
+    if not twice.isEmpty():          # rows equal in id and text are copies too: the first by all columns stays
+        same = packed["doc_id"].eqNullSafe(twice["_id"]) & (packed["text_hash"] == twice["_hash"])
+        first = (kept.join(twice, same, "left_semi").groupBy("doc_id", "text_hash")
+                 .agg(F.min_by("row", F.to_json("row")).alias("row")))
+        kept = kept.join(twice, same, "left_anti").select("row").unionByName(first.select("row"))
+    return kept.select("row.*")
