@@ -103,7 +103,8 @@ class Network:
         prob = 1 / (1 + np.exp(-np.clip(self.head(mean, top), -30, 30)))
         dz = (prob - y) * weight / weight.sum()
         owner = np.repeat(np.arange(len(y)), counts)
-        is_top = h == top[owner]
+        is_top = h == top[owner]                  # overlapping chunks often share the place of their maximum
+        is_top = is_top / np.add.reduceat(is_top, starts)[owner]
         dh = (dz / counts)[owner, None] * self.p["mean"] + dz[owner, None] * self.p["max"] * is_top
         dp = dh * (pooled > 0)
         grad = {"bias": dp.sum(0), "mean": dz @ mean, "max": dz @ top, "out": np.array([dz.sum()]),
