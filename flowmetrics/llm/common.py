@@ -22,14 +22,15 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a new folder under ``spark.checkpoint.dir`` and read it back.
+def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` to a new folder under ``spark.checkpoint.dir``, one folder per value of
+    ``by`` if named, and read it back.
 
     The written copy cuts the lineage, fixes row ids, and serves several readers.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*([by] if by else [])).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,9 +9,12 @@ straight through; only the others shuffle, and an exact grouping by SHA-256
 decides among them. False positives cost a shuffle of that row and nothing
 else, so results are exact at every filter size.
 
-The filter is broadcast. Its size is bounded by ``max_bits`` (32 MB by
-default); past ``max_bits / 16`` rows its selectivity falls and more rows
-shuffle (in ``exact_copies`` these rows are an id and a digest).
+The filter grows with the rows, 16 bits for each, and is broadcast in parts of at
+most ``max_bits`` (32 MB by default): ``exact_copies`` deals the written digests
+by part, without a shuffle, and tests one part after the other, so the share of
+unique rows that shuffle is the same at every size. ``drop_exact_copies`` reads
+the texts once against a single part; past ``max_bits / 16`` rows more texts
+shuffle there unless ``max_bits`` is raised.
 
 Defined results: a null text counts as empty, empty texts equal each other.
 Of repeated rows with one doc_id and equal texts, one row is kept. A null
@@ -22,6 +25,8 @@ columns of the input are not read (``exact_copies``) or ride along unread
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +34,7 @@ from .common import ascii_lower, power_of_two, staged, text_or_empty
 
 BLOCK_BITS = 1 << 15          # bits of one bitmap row (fixed by bitmap_construct_agg)
 BITS_PER_ROW = 16
-MAX_BITS = 1 << 28
+MAX_BITS, MAX_BLOCKS = 1 << 28, 1 << 30
 PROBE_SHIFTS = (19, 34, 49)   # three disjoint 15-bit fields; the block takes lower bits
 
 
@@ -42,7 +47,9 @@ def digest(text: str = "text") -> Column:
 
 
 def _block(sha: Column, blocks: int) -> Column:
-    return F.xxhash64(sha).bitwiseAND(F.lit(blocks - 1)).cast("int")
+    # past 2^19 blocks the lower bits would meet the first probe's
+    own = F.xxhash64(sha) if blocks <= 1 << PROBE_SHIFTS[0] else F.xxhash64(sha, F.lit(1))
+    return own.bitwiseAND(F.lit(blocks - 1)).cast("int")
 
 
 def _probes(sha: Column) -> list[Column]:
@@ -78,12 +85,27 @@ def with_repeat_flag(df: DataFrame, bits: DataFrame, blocks: int) -> DataFrame:
             .withColumn("maybe_repeated", test).drop("block", "bitmap"))
 
 
+def _flagged(rows: DataFrame, max_bits: int) -> DataFrame:
+    """The written ``rows`` (with ``sha``) plus ``maybe_repeated``, written. A filter beyond
+    ``max_bits`` is built, broadcast and tested in parts of whole blocks."""
+    blocks = filter_blocks(rows.count(), MAX_BLOCKS * BLOCK_BITS)
+    parts = -(-blocks * BLOCK_BITS // max(max_bits, BLOCK_BITS))
+    if parts == 1:
+        return staged(with_repeat_flag(rows, repeat_filter(rows, blocks), blocks), "flagged")
+    part = F.pmod(_block(F.col("sha"), blocks), F.lit(parts))
+    dealt = staged(rows.withColumn("part", part), "parts", by="part")
+    done = []
+    for k in range(parts):
+        own = dealt.filter(F.col("part") == k).drop("part")
+        done.append(staged(with_repeat_flag(own, repeat_filter(own, blocks), blocks), "flagged"))
+    return reduce(DataFrame.unionByName, done)
+
+
 def exact_copies(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
     rows = staged(docs.select("doc_id", digest().alias("sha"),
                               F.monotonically_increasing_id().alias("row_id")), "digests")
-    blocks = filter_blocks(rows.count(), max_bits)
-    flagged = staged(with_repeat_flag(rows, repeat_filter(rows, blocks), blocks), "flagged")
+    flagged = _flagged(rows, max_bits)
     alone = flagged.filter("NOT maybe_repeated").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "sha")

@@ -9,19 +9,22 @@ and cover the document. The mean and the maximum of the chunks' pooled
 outputs are combined into one probability. A one-hot convolution is a sum of
 table rows, so numpy gathers do it.
 
-Training (numpy on the driver, Adam) sees a bounded sample: at most
-``MAX_PER_CLASS`` documents per class and ``MAX_CHUNKS`` chunks, evenly
-spread, of each; scoring covers all chunks of every document. Labels of the
-held-out fold, lang, source and doc_id never enter a score.
+Training (numpy on the driver, Adam) sees a bounded sample of labelled rows,
+each with all its chunks: about ``MAX_PER_CLASS`` documents per class, and of
+these, in id-hash order, those that fit into ``MAX_BYTES`` per class. Scoring
+covers all chunks of every document. Labels of the held-out fold, lang,
+source and doc_id never enter a score.
 
 Defined results: null and empty texts are one chunk of padding and get its
 score. Without training rows of both classes every score is the share of label
-1 (0.5 without any). Repeated rows get equal scores; an empty table gives an
-empty result. Other columns ride along in ``accept`` and are not read.
+1 (0.5 without any). Repeated rows get equal scores; of rows that share a
+labelled id the greatest text is learnt from; an empty table gives an empty
+result. Other columns ride along in ``accept`` and are not read.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged
-from .samples import class_counts, fold, sampled, training_labels
+from .samples import class_counts, fold, sampled, texts_of, training_labels
 
 FOLDS, HELD_OUT = 5, 0
 CUT = 0.3
@@ -38,9 +41,9 @@ FILTERS, WIDTH, STRIDE = 8, 8, 2
 CHUNK, HALF = 512, 256
 SYMBOLS, PAD = 513, 512
 REPEATS = range(4, 25)
-MAX_PER_CLASS, MAX_CHUNKS = 1_000, 12
+MAX_PER_CLASS, MAX_BYTES = 1_000, 8 << 20
 EPOCHS, BATCH, RATE = 14, 32, 0.01
-SLICE = 1 << 16
+SLICE, PEAK_ROWS = 1 << 16, 512
 
 
 def symbols(data: bytes) -> np.ndarray:
@@ -90,13 +93,21 @@ class Network:
         return mean @ self.p["mean"] + top @ self.p["max"] + self.p["out"][0]
 
     # ---------------------------------------------------------------- training
+    def peaks(self, chunks, valid) -> tuple[np.ndarray, np.ndarray]:
+        """Place and value of each filter's maximum in each chunk, some chunks at a time."""
+        at, best = [], []
+        for i in range(0, len(chunks), PEAK_ROWS):
+            conv = self.convolve(chunks[i:i + PEAK_ROWS])[:, :CHUNK // STRIDE]
+            conv[np.arange(conv.shape[1]) >= valid[i:i + PEAK_ROWS, None]] = -1e9
+            at.append(conv.argmax(axis=1))
+            best.append(conv.max(axis=1))
+        return np.concatenate(at), np.concatenate(best)
+
     def step(self, chunks, valid, starts, y, weight):
         """Gradients for a batch: ``chunks`` (c, CHUNK + WIDTH) symbols, ``valid`` filter
         places per chunk, ``starts`` the first chunk of each document."""
-        conv = self.convolve(chunks)[:, :CHUNK // STRIDE]
-        conv[np.arange(conv.shape[1]) >= valid[:, None]] = -1e9
-        at = conv.argmax(axis=1)                                            # (c, F)
-        pooled = np.take_along_axis(conv, at[:, None], 1)[:, 0] + self.p["bias"]
+        at, best = self.peaks(chunks, valid)                                # (c, F)
+        pooled = best + self.p["bias"]
         h = np.maximum(pooled, 0)
         counts = np.diff(np.append(starts, len(h)))
         mean, top = np.add.reduceat(h, starts) / counts[:, None], np.maximum.reduceat(h, starts)
@@ -116,7 +127,7 @@ class Network:
         return grad
 
     def train(self, docs: list, y: np.ndarray, weight: np.ndarray, seed: int = 42):
-        """``docs``: per document (chunks, valid)."""
+        """``docs``: the symbols of each document."""
         rng = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(x) for k, x in self.p.items()}
@@ -125,9 +136,9 @@ class Network:
             order = rng.permutation(len(docs))
             for i in range(0, len(order), BATCH):
                 batch = order[i:i + BATCH]
-                starts = np.cumsum([0] + [len(docs[k][1]) for k in batch[:-1]])
-                g = self.step(np.concatenate([docs[k][0] for k in batch]), np.concatenate([docs[k][1] for k in batch]),
-                              starts, y[batch], weight[batch])
+                chunks, valid = zip(*(training_chunks(docs[k]) for k in batch))
+                starts = np.cumsum([0] + [len(v) for v in valid[:-1]])
+                g = self.step(np.concatenate(chunks), np.concatenate(valid), starts, y[batch], weight[batch])
                 t += 1
                 for k in self.p:
                     m[k] = 0.9 * m[k] + 0.1 * g[k]
@@ -192,29 +203,26 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.head(mean, top).astype(np.float64), -30, 30)))
 
 
-def training_chunks(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """At most MAX_CHUNKS chunks of a text, evenly spread, and their valid places."""
-    s = symbols(data) if data else np.full(1, PAD, np.int16)
-    total = n_chunks(len(s))
-    picked = range(total) if total <= MAX_CHUNKS else sorted({round(i * (total - 1) / (MAX_CHUNKS - 1)) for i in range(MAX_CHUNKS)})
+def training_chunks(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All chunks of a text's symbols with their context, and the valid places of each."""
+    starts = np.arange(n_chunks(len(s))) * HALF
     padded = np.concatenate([s, np.full(CHUNK + WIDTH, PAD, np.int16)])
-    chunks = np.stack([padded[k * HALF:k * HALF + CHUNK + WIDTH] for k in picked])
-    valid = np.array([min(CHUNK // STRIDE, valid_positions(len(s) - k * HALF)) for k in picked])
-    return chunks, valid
+    chunks = np.lib.stride_tricks.sliding_window_view(padded, CHUNK + WIDTH)[starts]
+    return chunks, np.minimum(CHUNK // STRIDE, [valid_positions(len(s) - k) for k in starts])
 
 
-def _examples(df: DataFrame) -> list:
-    """(y, chunks, valid) of every row of ``df(y, text)``, fetched: the caller bounds the rows."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            made = [training_chunks(t.as_buffer().to_pybytes() if t.is_valid else b"") for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([c.tobytes() for c, _ in made], pa.binary()),
-                 pa.array([v.tolist() for _, v in made], pa.list_(pa.int32()))], names=["y", "chunks", "valid"])
-    table = df.select(F.col("y").cast("int").alias("y"), "text").mapInArrow(
-        run, "y int, chunks binary, valid array<int>").toArrow()
-    return [(y, np.frombuffer(c, np.int16).reshape(-1, CHUNK + WIDTH), np.array(v))
-            for y, c, v in zip(*(table.column(i).to_pylist() for i in range(3)))]
+def _examples(rows: DataFrame) -> list:
+    """(y, text) of the staged sample ``rows(doc_id, y, text)``: in id-hash order those that
+    fit into MAX_BYTES per class. Only ids and sizes, and then these texts, are fetched."""
+    sizes = rows.select("doc_id", "y", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n")).collect()
+    left, ids = {0: MAX_BYTES, 1: MAX_BYTES}, []
+    for r in sorted(sizes, key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"])):
+        if r["n"] <= left[r["y"]]:
+            left[r["y"]] -= r["n"]
+            ids.append(r["doc_id"])
+    table = (rows if len(ids) == len(sizes) else rows.filter(F.col("doc_id").isin(ids))).toArrow()
+    found = sorted(zip(*(table.column(k).to_pylist() for k in ("doc_id", "y", "text"))), key=lambda r: r[0])
+    return [(y, (text or "").encode()) for _, y, text in found]
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Network | float:
@@ -223,16 +231,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network | float:
     zeros, ones = class_counts(train)
     chosen = sampled(train.filter("y = 1"), ones, MAX_PER_CLASS, 1).unionByName(
         sampled(train.filter("y = 0"), zeros, MAX_PER_CLASS, 2))
-    text = docs.select(F.col("doc_id").alias("_id"), "text")
-    rows = _examples(text.join(F.broadcast(chosen), text["_id"] == chosen["doc_id"]))       # at most the sample's rows
-    y = np.array([r[0] for r in rows], np.float64)
+    rows = _examples(staged(texts_of(docs, chosen), "quality_sample"))
+    y = np.array([label for label, _ in rows], np.float64)
     if not 0 < y.sum() < len(y):
         return ones / (zeros + ones) if zeros + ones else 0.5
     # the classes are sampled apart: weights restore their shares
     share = ones / (zeros + ones)
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
     net = Network()
-    net.train([(c, v) for _, c, v in rows], y, weight)
+    net.train([symbols(text) if text else np.full(1, PAD, np.int16) for _, text in rows], y, weight)
     return net.frozen()
 
 

@@ -12,12 +12,20 @@ def fold(folds: int, id_col: str = "doc_id") -> Column:
 
 
 def sampled(df: DataFrame, rows: int, most: int, seed: int, id_col: str = "doc_id") -> DataFrame:
-    """About ``most`` of the ``rows`` rows of ``df``, by a hash of the id; never more
-    than ``most`` plus six deviations."""
+    """About ``most`` of the ``rows`` rows of ``df`` (one row an id), by a hash of the id:
+    binomial around ``most``, so its deviation is at most the root of ``most``."""
     if rows <= most:
         return df
     share = F.shiftrightunsigned(F.xxhash64(id_col, F.lit(seed)), 11) / F.lit(float(1 << 53))
-    return df.filter(share < most / rows).limit(int(most + 6 * most ** 0.5))
+    return df.filter(share < most / rows)
+
+
+def texts_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(doc_id, y, text) of the ids in ``chosen(doc_id, y)``, a bounded sample: one row of
+    each, with the greatest text, however many rows of ``docs`` share the id."""
+    text = docs.select(F.col("doc_id").alias("_id"), "text")
+    return (text.join(F.broadcast(chosen), text["_id"] == chosen["doc_id"])
+            .groupBy("doc_id", "y").agg(F.max("text").alias("text")))
 
 
 def training_labels(labels: DataFrame, label: str, folds: int, held_out: int) -> DataFrame:

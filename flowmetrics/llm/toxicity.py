@@ -10,18 +10,21 @@ classifier cannot drive the estimated negative risk below what is possible
 (logistic loss, proximal gradient steps, soft-thresholded weights). The model is linear over the
 set of hashed words and word prefixes of the whole text; words are runs of
 letters, lower-cased.
-It is trained by numpy on the driver from a bounded sample
-(``MAX_POSITIVE`` + ``MAX_UNLABELLED`` documents, of which only word indices
-are fetched) and applied in Arrow batches.
+It is trained by numpy on the driver from a bounded sample of the labelled rows
+of the training folds (of which only word indices are fetched) and applied in
+Arrow batches: at most about ``MAX_POSITIVE`` rows with label 1 are the
+confirmed positives, and about ``MAX_UNLABELLED`` rows drawn whatever their
+label are the unlabelled text.
 
-The prior is the share of label 1 among labels of the training folds, and the
-same labels set the place of the 0.7 cut. Labels of the held-out fold, lang,
-source and doc_id never enter a score.
+The prior is the share of label 1 among labels of the training folds. It also
+places the 0.7 cut: as large a share of the unlabelled texts lies above it, so
+no negative label is used. Labels of the held-out fold, lang, source and
+doc_id never enter a score.
 
 Defined results: null and empty texts get the score of no words. Without any
-positive or unlabelled training text every score is 0. Repeated rows get
-equal scores; an empty table gives an empty result. Only doc_id and text are
-read.
+positive training text every score is 0. Repeated rows get equal scores; of
+rows that share a labelled id the greatest text is learnt from; an empty
+table gives an empty result. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -37,14 +40,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged
-from .samples import class_counts, fold, sampled, training_labels
+from .samples import class_counts, fold, sampled, texts_of, training_labels
 
 FOLDS, HELD_OUT = 3, 1
 CUT = 0.7
 BUCKETS = 1 << 18
-MAX_POSITIVE, MAX_NEGATIVE, MAX_UNLABELLED = 3_000, 3_000, 6_000
+MAX_POSITIVE, MAX_UNLABELLED = 3_000, 6_000
 PREFIXES = range(4, 9)
-STEPS, MIN_SHARE, PENALTY = 200, 0.005, 0.7
+STEPS, MIN_SHARE = 200, 0.005
+PENALTY = 0.2                 # by cross-validation inside the training fold
 MEMO_WORDS = 300_000
 WORDS = re.compile(rb"[a-z\x80-\xff]+")
 
@@ -65,13 +69,15 @@ def indices(data: bytes) -> np.ndarray:
 
 
 def _features(df: DataFrame) -> list:
-    """(y, indices) of every row of ``df(y, text)``, fetched: the caller bounds the rows."""
+    """(y, indices) of every row of ``df(doc_id, y, text)`` by doc_id, fetched: the caller bounds the rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = [indices(t.as_buffer().to_pybytes() if t.is_valid else b"") for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([i.tobytes() for i in x], pa.binary())], names=["y", "x"])
-    table = df.select(F.col("y").cast("int").alias("y"), "text").mapInArrow(run, "y int, x binary").toArrow()
-    return [(y, np.frombuffer(x, np.int32)) for y, x in zip(table.column("y").to_pylist(), table.column("x").to_pylist())]
+            x = [indices(t.as_buffer().to_pybytes() if t.is_valid else b"") for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([i.tobytes() for i in x], pa.binary())],
+                                             names=["doc_id", "y", "x"])
+    table = df.select("doc_id", "y", "text").mapInArrow(run, "doc_id long, y int, x binary").toArrow()
+    rows = sorted(zip(*(table.column(k).to_pylist() for k in ("doc_id", "y", "x"))))
+    return [(y, np.frombuffer(x, np.int32)) for _, y, x in rows]
 
 
 @dataclass
@@ -150,35 +156,29 @@ def train_nnpu(positive: list, unlabelled: list, prior: float) -> tuple[np.ndarr
     return weights, float(w[-1])
 
 
-def place_cut(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """(centre, slope): the centre is the middle of the best cut by F1 on labelled rows."""
-    order = np.argsort(-z)
-    z, y = z[order], y[order]
-    hits = np.cumsum(y)
-    f1 = 2 * hits / (np.arange(1, len(z) + 1) + max(1, y.sum()))
-    k = int(f1.argmax())
-    below = z[k + 1] if k + 1 < len(z) else z[k] - 1
-    return float(z[k] + below) / 2, float(4.0 / max(1e-3, z.std()))
+def place_cut(z: np.ndarray, prior: float) -> tuple[float, float]:
+    """(centre, slope) from the logits of unlabelled rows: ``prior`` of them lie above the
+    centre, as nearly as ties allow; equal logits are never parted."""
+    z = np.sort(z)[::-1]
+    edges = np.flatnonzero(z[:-1] > z[1:]) + 1                  # rows above each possible cut
+    if not len(edges):
+        return float(z[0]) + 1, 1.0
+    k = edges[np.abs(edges - prior * len(z)).argmin()]
+    return float(z[k - 1] + z[k]) / 2, float(4.0 / max(1e-3, z.std()))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     train = staged(training_labels(labels, "toxic", FOLDS, HELD_OUT), "toxic_labels")
     zeros, ones = class_counts(train)
-    chosen = sampled(train.filter("y = 1"), ones, MAX_POSITIVE, 1).unionByName(
-        sampled(train.filter("y = 0"), zeros, MAX_NEGATIVE, 2))
-    text = docs.select(F.col("doc_id").alias("_id"), "text")
-    labelled = _features(text.join(F.broadcast(chosen), text["_id"] == chosen["doc_id"]))   # at most the sample's rows
-    free = docs.filter(F.col("doc_id").isNotNull() & (fold(FOLDS) != HELD_OUT)).select("doc_id")
-    pool = docs.filter(F.col("doc_id").isNotNull() & (fold(FOLDS) != HELD_OUT)).select(
-        F.lit(None).cast("int").alias("y"), "doc_id", "text")
-    unlabelled = [x for _, x in _features(sampled(pool, free.count(), MAX_UNLABELLED, 3))]
-    positive = [x for y, x in labelled if y == 1]
+    confirmed = sampled(train.filter("y = 1"), ones, MAX_POSITIVE, 1)
+    hidden = sampled(train.select("doc_id", F.lit(0).alias("y")), zeros + ones, MAX_UNLABELLED, 3)
+    rows = _features(texts_of(docs, confirmed.unionByName(hidden)))       # y: 1 confirmed, 0 unlabelled
+    positive, unlabelled = ([x for y, x in rows if y == k] for k in (1, 0))
     if not positive or not unlabelled:
         return None
     prior = float(np.clip(ones / max(1, ones + zeros), 0.01, 0.5))
     weights, bias = train_nnpu(positive, unlabelled, prior)
-    z, y = _logits(weights, bias, [x for _, x in labelled]), np.array([y for y, _ in labelled])
-    centre, slope = place_cut(z, y)
+    centre, slope = place_cut(_logits(weights, bias, unlabelled), prior)
     return Model(weights.astype(np.float32), bias, slope, centre)
 
 

@@ -13,6 +13,12 @@ A content is a complete ``.warc.zst`` file. Frames hold about ``FRAME_BYTES``
 of records and bundles about ``BUNDLE_BYTES`` of frames (one record more at
 most), which bounds a task's memory by its longest page.
 
+Only pages whose payload may occur twice move. A blocked Bloom filter of the
+digests (see ``exact_dedup``) tells the others apart, and these become records
+in the task that reads them. Of the rest, digests and lengths alone decide
+which record is the response; a revisit record needs no html, and one html per
+digest follows its response after each task has reduced its copies to one.
+
 Defined results: a null html is an empty payload and empty payloads equal
 each other; a null page_id is the smallest and reads back as null; of
 repeated rows (one page_id, one payload) one is the response; a null url is
@@ -31,10 +37,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import staged
+from .exact_dedup import filter_blocks, repeat_filter, with_repeat_flag
 
 FRAME_BYTES = 256 * 1024
 BUNDLE_BYTES = 4 * 1024 * 1024
@@ -49,8 +55,8 @@ BUNDLES = ("name string, content binary, "
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def record_id(page_id: int | None, copy: int) -> str:
-    return f"<urn:page:{'' if page_id is None else page_id}:{copy}>"
+def record_id(page_id: int | None, tag: str) -> str:
+    return f"<urn:page:{'' if page_id is None else page_id}:{tag}>"
 
 
 def page_of(identifier: str) -> int | None:
@@ -58,10 +64,9 @@ def page_of(identifier: str) -> int | None:
     return int(page) if page else None
 
 
-def build_record(page_id, copy, url, payload: bytes, digest: str, refers_to: str | None) -> tuple[str, bytes]:
-    """(record id, record): a response, or a revisit of ``refers_to`` without the payload."""
-    identifier = record_id(page_id, copy)
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+def build_record(identifier: str, url, payload: bytes | None, n: int, digest: str, refers_to: str | None) -> bytes:
+    """The record of a payload of ``n`` bytes: a response, or a revisit of ``refers_to`` without the payload."""
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n}\r\n\r\n".encode()
     block = http if refers_to else http + payload
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if refers_to else 'response'}", f"WARC-Record-ID: {identifier}",
             f"WARC-Date: {DATE}"]
@@ -71,7 +76,7 @@ def build_record(page_id, copy, url, payload: bytes, digest: str, refers_to: str
         head += [f"WARC-Refers-To: {refers_to}", f"WARC-Profile: {REVISIT_PROFILE}"]
     head += [f"WARC-Payload-Digest: sha1:{digest}", "Content-Type: application/http; msgtype=response",
              f"Content-Length: {len(block)}", "", ""]
-    return identifier, "\r\n".join(head).encode() + block + b"\r\n\r\n"
+    return "\r\n".join(head).encode() + block + b"\r\n\r\n"
 
 
 def parse_record(record: bytes) -> tuple[dict[str, str], bytes]:
@@ -153,19 +158,33 @@ class BundleReader:
 
 # ------------------------------------------------------------------ on Spark
 def with_references(pages: DataFrame) -> DataFrame:
-    """page_id, url, html, copy (1.. among rows of one page_id) and the page and copy
-    that the row revisits, null for responses."""
-    html = F.coalesce("html", F.lit(""))
-    rows = pages.select("page_id", "url", html.alias("html"), F.sha1(html.cast("binary")).alias("sha1"))
-    copy = F.row_number().over(W.partitionBy("page_id").orderBy("sha1", "url"))
-    slim = rows.select("page_id", "url", "sha1").withColumn("copy", copy)
-    first = staged(slim.groupBy("sha1").agg(F.min(F.struct("page_id", "copy")).alias("first"),
-                                            F.count(F.lit(1)).alias("n")).filter("n > 1").select("sha1", "first"), "first")
-    own = F.struct("page_id", "copy")
-    return (rows.withColumn("copy", copy).join(first, "sha1", "left")
-            .withColumn("refers", F.when(F.col("first").isNotNull() & ~F.col("first").eqNullSafe(own), F.col("first")))
-            .select("page_id", "url", "html", "copy", F.col("refers").isNotNull().alias("revisit"),
-                    F.col("refers.page_id").alias("ref_page"), F.col("refers.copy").alias("ref_copy")))
+    """One row per record: page_id, tag (tells records of one page_id apart), url, html
+    (null for revisits), n_bytes, sha and the page and tag that the record revisits, null
+    for responses."""
+    html = F.coalesce("html", F.lit("")).cast("binary")
+    rows = pages.select("page_id", "url", html.alias("html"), F.unhex(F.sha1(html)).alias("sha"))
+    slim = staged(rows.select("page_id", "url", F.octet_length("html").cast("long").alias("n_bytes"), "sha",
+                              F.monotonically_increasing_id().alias("row_id")), "page_digests")
+    blocks = filter_blocks(slim.count())
+    bits = staged(repeat_filter(slim, blocks), "page_filter")
+    none, digest = F.lit(None), F.hex("sha")
+    flagged = with_repeat_flag(rows, bits, blocks)
+    alone = flagged.filter("NOT maybe_repeated").select(
+        "page_id", digest.alias("tag"), "url", "html", F.octet_length("html").cast("long").alias("n_bytes"), "sha",
+        none.cast("long").alias("ref_page"), none.cast("string").alias("ref_tag"))
+    # row ids come from the written table, so both of its readers see the same ones
+    repeated = with_repeat_flag(slim, bits, blocks).filter("maybe_repeated").withColumn(
+        "tag", F.concat_ws("-", digest, F.col("row_id").cast("string")))
+    first = staged(repeated.groupBy("sha").agg(F.min(F.struct("page_id", "row_id", "tag", "url", "n_bytes")).alias("first")),
+                   "first")
+    payload = flagged.filter("maybe_repeated").groupBy("sha").agg(F.first("html").alias("html"))       # all alike
+    responses = first.join(payload, "sha").select(
+        "first.page_id", "first.tag", "first.url", "html", "first.n_bytes", "sha",
+        none.cast("long").alias("ref_page"), none.cast("string").alias("ref_tag"))
+    revisits = repeated.join(first, "sha").filter(F.col("row_id") != F.col("first.row_id")).select(
+        "page_id", "tag", "url", none.cast("binary").alias("html"), "n_bytes", "sha",
+        F.col("first.page_id").alias("ref_page"), F.col("first.tag").alias("ref_tag"))
+    return alone.unionByName(responses).unionByName(revisits)
 
 
 def write_bundles(pages: DataFrame) -> DataFrame:
@@ -178,11 +197,12 @@ def write_bundles(pages: DataFrame) -> DataFrame:
         from pyspark import TaskContext
         writer = BundleWriter(f"part-{TaskContext.get().partitionId():06d}")
         for b in batches:
-            for page_id, url, html, copy, revisit, ref_page, ref_copy in zip(*(c for c in b.columns)):
-                payload = html.as_py().encode()
-                digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
-                refers = record_id(ref_page.as_py(), ref_copy.as_py()) if revisit.as_py() else None
-                done = writer.add(*build_record(page_id.as_py(), copy.as_py(), url.as_py(), payload, digest, refers))
+            for row in zip(*b.columns):
+                page_id, tag, url, html, n, sha, ref_page, ref_tag = (v.as_py() for v in row)
+                refers = None if ref_tag is None else record_id(ref_page, ref_tag)
+                identifier = record_id(page_id, tag)
+                digest = base64.b32encode(sha).decode()
+                done = writer.add(identifier, build_record(identifier, url, html, n, digest, refers))
                 if done:
                     yield pa.RecordBatch.from_pylist([done], schema=schema)
         done = writer.close()

@@ -118,13 +118,14 @@ def test_network_equals_a_plain_convolution():
     assert np.allclose(net.probabilities(texts[::-1]), want[::-1], atol=1e-9)
 
 
-def test_gradients_of_the_network():
+def test_gradients_of_the_network(monkeypatch):
     """Backward pass against differences of the loss, for texts short enough to train on whole."""
     rng = random.Random(4)
     net = quality.Network(5)
     texts = [bytes(rng.choice(b"abc d") for _ in range(n)) for n in (40, 600, 1_100)]
+    monkeypatch.setattr(quality, "PEAK_ROWS", 2)
     y, weight = np.array([1.0, 0.0, 1.0]), np.array([1.0, 2.0, 0.5])
-    made = [quality.training_chunks(t) for t in texts]
+    made = [quality.training_chunks(quality.symbols(t)) for t in texts]
     starts = np.cumsum([0] + [len(v) for _, v in made[:-1]])
     grad = net.step(np.concatenate([c for c, _ in made]), np.concatenate([v for _, v in made]), starts, y, weight)
 
@@ -143,6 +144,52 @@ def test_gradients_of_the_network():
             assert np.isclose(grad[name][at], (up - down) / 2e-6, atol=1e-6), (name, at)
 
 
+def test_cut_lies_where_the_prior_says():
+    z = np.array([5.0, 4, 3, 2, 1, 0, -1, -2, -3, -4])
+    centre, slope = toxicity.place_cut(z[::-1], 0.3)
+    assert centre == 2.5 and slope > 0
+    # ties are not parted: two or five of the ten rows may lie above, two are nearer to three
+    assert toxicity.place_cut(np.array([9.0, 9, 1, 1, 1, 0, 0, 0, 0, 0]), 0.3)[0] == 5.0
+    assert toxicity.place_cut(np.zeros(4), 0.3)[0] > 0
+
+
+def test_recall_of_held_out_toxic_texts(spark):
+    """The cut is placed without a negative label; it still finds the toxic texts of the fold."""
+    docs, labels = (load(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
+    out = toxicity.toxicity(docs, labels).filter("held_out").join(labels, "doc_id").select("predicted", "toxic").collect()
+    found = sum(r["predicted"] for r in out if r["toxic"] == 1)
+    assert found >= 0.9 * sum(r["toxic"] == 1 for r in out)
+    assert found >= 0.85 * sum(r["predicted"] for r in out)
+
+
+@pytest.mark.parametrize("score,label", [(toxicity.toxicity, "toxic"), (quality.quality, "quality")])
+def test_awkward_rows_of_the_classifiers(spark, score, label):
+    """Repeated labels and ids, clashing names, one very long text; reruns agree whatever the partitions."""
+    good, bad = "A calm and careful line of prose. ", "awful vile nasty words "
+    texts = [(i, (good if i % 3 else bad) * (1 + i % 4)) for i in range(240)]
+    texts += [(3, bad)] * 40 + [(500, good * 60_000), (501, bad * 60_000), (None, None), (502, "")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").selectExpr("*", "1 AS y", "2 AS score", "3 AS _id", "4 AS x")
+    value = lambda i: int(i % 3 == 0) if label == "toxic" else int(i % 3 != 0)
+    marks = [(i, value(i)) for i in range(240)] + [(7, value(7))] * 5 + [(500, value(1)), (None, 1), (6, None)]
+    labels = spark.createDataFrame(marks, f"doc_id long, {label} int")
+    rounded = F.round("score", 6).alias("score")
+    first, again = (sorted(map(str, score(d, labels).withColumn("score", rounded).collect())) for d in (docs, docs.repartition(5)))
+    assert first == again and len(first) == len(texts)
+    same = {r["score"] for r in score(docs, labels).filter("doc_id = 3").select("doc_id", rounded).collect()}
+    assert len(same) <= 2                         # one score for each of its two texts
+    by_id = {r["doc_id"]: r["predicted"] for r in score(docs, labels).collect()}
+    assert (by_id[500], by_id[501]) == (value(1), value(3))
+
+
+def test_texts_beyond_the_training_bytes_are_not_fetched(spark, monkeypatch):
+    monkeypatch.setattr(quality, "MAX_BYTES", 100)
+    sample = spark.createDataFrame([(1, 1, "a" * 60), (2, 1, "b" * 60), (3, 1, "c" * 30), (4, 0, "d" * 101), (5, 0, None)],
+                                   "doc_id long, y int, text string")
+    got = quality._examples(sample)
+    ones = sum(len(t) for y, t in got if y == 1)
+    assert ones == 90 and [t for y, t in got if y == 0] == [b""]
+
+
 def _plain_near(rows):
     """One row a component: smallest (doc_id, hash) of the fingerprints that link."""
     from .test_mixing_simhash import _components, _fingerprint

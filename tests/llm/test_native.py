@@ -39,11 +39,19 @@ def test_exact_copies(spark, max_bits):
     assert got == _copies(texts, range(len(texts)))
 
 
-def test_exact_saturated_filter(spark):
-    """A filter far too small sends more rows to the shuffle and changes nothing."""
+def test_exact_filter_beyond_the_bound(spark):
+    """Rows past what one broadcast holds are tested part by part, as selectively as below it."""
     texts = [f"text {i // 2 if i % 5 == 0 else i}" for i in range(9_000)]
+    want = _copies(texts, range(len(texts)))
     out = exact_dedup.exact_copies(_docs(spark, texts), exact_dedup.BLOCK_BITS).collect()
-    assert {r["doc_id"]: tuple(r)[1:] for r in out} == _copies(texts, range(len(texts)))
+    assert {r["doc_id"]: tuple(r)[1:] for r in out} == want
+    hashed = _docs(spark, texts).select("doc_id", exact_dedup.digest().alias("sha"))
+    for most in (exact_dedup.BLOCK_BITS, 3 * exact_dedup.BLOCK_BITS, exact_dedup.MAX_BITS):
+        moved = {r["doc_id"] for r in exact_dedup._flagged(hashed, most).filter("maybe_repeated").collect()}
+        repeated = {i for i, v in want.items() if v[1] > 1}
+        assert repeated <= moved and len(moved - repeated) < 0.1 * (len(texts) - len(repeated))
+    kept = exact_dedup.drop_exact_copies(_docs(spark, texts), exact_dedup.BLOCK_BITS).collect()     # saturated
+    assert {r["doc_id"] for r in kept} == {i for i, v in want.items() if v[2]}
 
 
 def test_exact_repeated_rows_and_null_ids(spark):

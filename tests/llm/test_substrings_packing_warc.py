@@ -200,9 +200,23 @@ def test_warc_repeated_rows_and_empty(spark):
     assert warc.read_bundles(warc.write_bundles(spark.createDataFrame([], PAGES))).count() == 0
 
 
+def test_warc_one_html_per_digest(spark):
+    """One html per digest stays with a record; revisits carry none and name the response."""
+    rng = random.Random(5)
+    df = spark.createDataFrame([(i, "u", words(rng, 50) + str(i)) for i in range(60)] + [(100 + i, "v", "hot page") for i in range(40)],
+                               PAGES)
+    out = warc.with_references(df)
+    single = out.filter("ref_page IS NULL").collect()
+    assert sum(r["html"] is not None for r in out.collect()) == 61 == len(single)
+    assert {(r["ref_page"], r["ref_tag"].split("-")[0]) for r in out.filter("ref_page IS NOT NULL").collect()} == {
+        (100, hashlib.sha1(b"hot page").hexdigest().upper())}
+    tags = [(r["page_id"], r["tag"]) for r in out.collect()]
+    assert len(set(tags)) == len(tags) == 100
+
+
 def test_bundle_seeks():
     writer = warc.BundleWriter("p")
-    records = [warc.build_record(i, 1, "u", bytes([i]) * 90_000, "D", None) for i in range(20)]
+    records = [(warc.record_id(i, "1"), warc.build_record(warc.record_id(i, "1"), "u", bytes([i]) * 90_000, 90_000, "D", None)) for i in range(20)]
     for identifier, record in records:
         writer.add(identifier, record)
     done = writer.close()
