@@ -49,6 +49,7 @@ TOKENIZER_A, RANKS_A, TOKENIZER_B = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 BLOCK_BYTES = 6 << 20       # texts of a block; a longer text is a block of its own
 LANE = 512                  # A tokens of a lane
 PIECE_CHARS = 16_384
+PORTION = 64                # pieces whose ids B gives as Python numbers at a time
 PAIR = 1 << 32              # a pair is A id * PAIR + B id
 SEPARATORS = (",", "|", ";", "")
 
@@ -115,8 +116,8 @@ class Pair:
 
     def encode_a(self, pieces: list[str], settled: bool) -> list[np.ndarray]:
         if settled:
-            return [np.array(self.fast.encode_ordinary(" " + p), np.int64) for p in pieces]
-        return [np.array(self.library.encode(" " + p, add_special_tokens=False).ids, np.int64) for p in pieces]
+            return [np.array(self.fast.encode_ordinary(" " + p), np.int32) for p in pieces]
+        return [np.array(self.library.encode(" " + p, add_special_tokens=False).ids, np.int32) for p in pieces]
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of both tokenizers over all texts, and how many of them each text has: none
@@ -124,14 +125,16 @@ class Pair:
         pieces = [self.pieces(t) if t else [] for t in texts]
         doc = np.repeat(np.arange(len(texts)), [len(p) for p in pieces])
         ids_a = [i for t, p in zip(texts, pieces) if p for i in self.encode_a(p, not UNSETTLED.search(t))]
-        ids_b = [np.array(i, np.int64) for i in self.b.encode([q for p in pieces for q in p], num_threads=1)]
+        every = [q for p in pieces for q in p]
+        ids_b = [np.array(i, np.int32) for s in range(0, len(every), PORTION)
+                 for i in self.b.encode(every[s:s + PORTION], num_threads=1)]
         whole = [b" " + t.encode() if t else b"" for t in texts]
         size = np.array([len(w) for w in whole], np.int64)
         good = np.ones(len(texts), bool)
         sides = []
         for ids, width, spelled in ((ids_a, self.width_a, self.spell_a), (ids_b, self.width_b, self.spell_b)):
-            owner = np.repeat(doc, [len(i) for i in ids])
-            ids = np.concatenate([np.empty(0, np.int64), *ids]).astype(np.int64)
+            owner = np.repeat(doc.astype(np.int32), [len(i) for i in ids])
+            ids = np.concatenate([np.empty(0, np.int32), *ids])
             good &= np.bincount(owner, width[ids], len(texts)).astype(np.int64) == size
             sides.append((ids, owner, spelled))
         wrong = np.zeros(len(texts), bool)
@@ -150,9 +153,9 @@ def lockstep(ends_a: np.ndarray, ends_b: np.ndarray, starts: np.ndarray, stops:
     """Links and cuts of all lanes. ``ends_*``: last byte + 1 of every token over one
     byte axis; a lane takes the A tokens ``starts`` .. ``stops - 1``.
     Returns the A and B token numbers of the links, sorted, and those of the cuts."""
-    a = starts.copy()
-    b = np.searchsorted(ends_b, np.where(a > 0, ends_a[a - 1], 0), side="right")
-    stop = stops
+    # 32-bit numbers: a block has fewer tokens than bytes, and fewer than 2^31 of them
+    a, stop = starts.astype(np.int32), stops.astype(np.int32)
+    b = np.searchsorted(ends_b, np.where(a > 0, ends_a[a - 1], 0), side="right").astype(np.int32)
     links, cuts = [], []
     while len(a):
         end_a, end_b = ends_a[a], ends_b[b]
@@ -166,9 +169,10 @@ def lockstep(ends_a: np.ndarray, ends_b: np.ndarray, starts: np.ndarray, stops:
         if not live.all():
             a, b, stop = a[live], b[live], stop[live]
     if not links:
-        none = np.empty(0, np.int64)
+        none = np.empty(0, np.int32)
         return none, none, none, none
     link_a, link_b = map(np.concatenate, zip(*links))
+    links.clear()
     order = np.lexsort((link_b, link_a))
     cut_a, cut_b = (np.sort(np.concatenate(c)) for c in zip(*cuts))
     return link_a[order], link_b[order], cut_a, cut_b
@@ -190,8 +194,9 @@ class Block:
         self.a, self.n_a, self.b, self.n_b = pair.encode(texts)
         link_a, link_b, self.cut_a, self.cut_b = lockstep(
             np.cumsum(pair.width_a[self.a]), np.cumsum(pair.width_b[self.b]), *lanes(self.n_a))
-        self.link_doc = np.searchsorted(np.cumsum(self.n_a), link_a, side="right")
-        self.link_pair = self.a[link_a] * PAIR + self.b[link_b]
+        self.link_doc = np.repeat(np.arange(len(texts), dtype=np.int32), self.n_a)[link_a]
+        self.link_pair = self.a[link_a].astype(np.int64) * PAIR
+        self.link_pair += self.b[link_b]
         self.n_links = np.bincount(self.link_doc, minlength=len(texts))
         self.cut_doc = np.searchsorted(np.cumsum(self.n_a), self.cut_a, side="right")
         self.n_groups = np.bincount(self.cut_doc, minlength=len(texts))
@@ -199,19 +204,18 @@ class Block:
     def groups(self, pair: Pair) -> list[str]:
         """Per text its groups as ``a1,a2|b1;a3|b2,b3``."""
         na, nb = len(self.a), len(self.b)
-        codes = np.empty(na + nb, np.int64)
-        sign_a, sign_b = np.zeros(na, np.int64), np.zeros(nb, np.int64)
+        codes = np.empty(na + nb, np.int32)
+        sign_a, sign_b = np.zeros(na, np.int8), np.zeros(nb, np.int8)
         sign_a[self.cut_a] = 1
         sign_b[self.cut_b] = 2
         last = np.cumsum(self.n_b)[self.n_b > 0] - 1
         sign_b[last] = 3
-        group_a = np.searchsorted(self.cut_a, np.arange(na))     # groups that end before the token
-        group_b = np.searchsorted(self.cut_b, np.arange(nb))
-        before = np.concatenate([[0], self.cut_b + 1])            # B tokens of the groups before
+        size_a, size_b = (np.diff(cut, prepend=-1) for cut in (self.cut_a, self.cut_b))     # tokens of each group
+        before = self.cut_b + 1 - size_b                          # B tokens of the groups before
         through = self.cut_a + 1                                  # A tokens up to the group's end
         n = len(SEPARATORS)
-        codes[np.arange(na) + before[group_a]] = self.a * n + sign_a
-        codes[np.arange(nb) + through[group_b]] = (len(pair.bytes_a) + self.b) * n + sign_b
+        codes[np.arange(na, dtype=np.int32) + np.repeat(before, size_a)] = self.a * n + sign_a
+        codes[np.arange(nb, dtype=np.int32) + np.repeat(through, size_b)] = (len(pair.bytes_a) + self.b) * n + sign_b
         ends = np.cumsum(self.n_a + self.n_b)
         return ["".join(map(pair.written.__getitem__, codes[e - k:e].tolist()))
                 for e, k in zip(ends.tolist(), (self.n_a + self.n_b).tolist())]
@@ -220,7 +224,8 @@ class Block:
         """Distinct pairs with the number of texts that hold them, and per text the
         numbers of its pairs in that list (as steps) with the times each is linked."""
         pairs, number = np.unique(self.link_pair, return_inverse=True)
-        key, times = np.unique(self.link_doc * max(len(pairs), 1) + number, return_counts=True)
+        number += self.link_doc * np.int64(max(len(pairs), 1))
+        key, times = np.unique(number, return_counts=True)
         doc, held = np.divmod(key, max(len(pairs), 1))
         bounds = np.searchsorted(doc, np.arange(len(self.n_a) + 1))
         per = [(np.diff(held[s:e], prepend=0).astype("<u4").tobytes(), times[s:e].astype("<u4").tobytes())
