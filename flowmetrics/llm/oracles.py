@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from .line_rules import (BARE_PATTERN, BOILERPLATE_PATTERN, CLUTTER, END_PATTERN, MENU_PATTERN, SYMBOLS)
-
 _WORD = r"[^\x20\x09-\x0D]+"
 
+# Fixed values of op3's rules, written out here so that the SQL stands on its own
+_GAP = r"\x20\x09-\x0D"
+SYMBOLS = "[#*$%&|<>]"
+CLUTTER = "[#*$%&|<>!?]{2,}"
+END_PATTERN = f"[.!?:;…\"'”’»)\\]][{_GAP}]*$"
+BARE_PATTERN = f"(^|[{_GAP}])[|>»·]+($|[{_GAP}])"
+MENU_PATTERN = (f"(?i)(^|[{_GAP}])(home|menu|login|log in|sign in|sign up|register|next|previous|about us|contact us|"
+                f"site map|search|read more|back to top)([.:!?]?)([{_GAP}]|$)")
+BOILERPLATE_PATTERN = ("(?i)(all rights reserved|cookie policy|use of cookies|accept cookies|privacy policy|terms of use|"
+                       "terms of service|enable javascript|subscribe to our newsletter|click here to|lorem ipsum|powered by)")
+
 SQL: dict[str, str] = {}
 
 SQL["op8_bloom_exact_dedup"] = """
