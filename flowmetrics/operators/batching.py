@@ -50,8 +50,9 @@ def ordered_rank(df: DataFrame, id_col: str, parts: list[str]) -> DataFrame:
     # a key's rows of one part are neighbours there
     sizes = dealt.groupBy(*parts, "_part").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*parts).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shift = sizes.select(*[F.col(c).alias(f"_of_{c}") for c in parts], F.col("_part").alias("_of_part"),
-                         (F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    # written: the planner knows its size, and moves no row of a large input to join it
+    shift = materialize(sizes.select(*[F.col(c).alias(f"_of_{c}") for c in parts], F.col("_part").alias("_of_part"),
+                         (F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")), "shifts")
     same = F.col("_part") == F.col("_of_part")
     for c in parts:
         same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))

@@ -18,8 +18,10 @@ MAX_PAGE = 200
 
 
 def awkward(documents: DataFrame, group: str, empty: str) -> DataFrame:
-    """``documents`` (``document``, ``batch``) and, per ``group``, documents that give no row."""
-    first = documents.groupBy(group).agg(F.min_by("document", "batch").alias("document"))
+    """``documents`` (``document``, ``batch``: from 0 in each ``group``) and, per ``group``,
+    documents that give no row. The filter on the first batch reaches the rows the
+    documents are made of, so the others are not built again."""
+    first = documents.filter(F.col("batch") == 0)
     broken = F.expr("left(document, length(document) div 2)")
     extra = first.select(group, F.explode(F.array(
         F.lit(empty), F.lit('{"value": null}'), F.lit(None).cast("string"), broken)).alias("document"))
