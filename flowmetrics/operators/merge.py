@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: A batch of so many rows at most has its keys broadcast (they are bounded by it).
@@ -68,14 +68,37 @@ def merge_by_key(current: DataFrame, incoming: DataFrame, keys: list[str],
     return kept.unionByName(new)
 
 
+def merge_dealt(current: DataFrame, incoming: DataFrame, keys: list[str], deal, dealt_by: list[str],
+                update_cols: list[str] | None = None, newer: list[str] | None = None) -> DataFrame:
+    """``merge_by_key`` of two frames with the same columns, for a large batch: ``deal``
+    moves the rows of both at once by the columns ``dealt_by`` (functions of the keys, which
+    it adds), and a key's rows are then neighbours in their task. A null key matches nothing."""
+    cols = current.columns
+    updates = set(cols) - set(keys) if update_cols is None else set(update_cols) - set(keys)
+    side, row, more = (fresh_name(n, [*cols, *dealt_by]) for n in ("_incoming", "incoming", "_more"))
+    both = deal(current.withColumn(side, F.lit(0)).unionByName(incoming.select(*cols).withColumn(side, F.lit(1))))
+    of_key = Window.partitionBy(*dealt_by, *keys).orderBy(F.col(side).desc())
+    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    both = both.withColumn(row, F.first(F.when(F.col(side) == 1, F.struct(*cols))).over(of_key)).withColumn(
+        more, F.lead(F.lit(True)).over(of_key))
+    hit = (F.col(side) == 0) & known & F.col(row).isNotNull()
+    if newer:
+        hit = hit & (F.struct(*[F.col(row)[c] for c in newer]) >= F.struct(*[F.col(c) for c in newer]))
+    # an incoming row stands for itself only where no stored one has its key
+    both = both.filter((F.col(side) == 0) | ~known | F.col(more).isNull())
+    return both.select(*[F.when(hit, F.col(row)[c]).otherwise(F.col(c)).alias(c) if c in updates else F.col(c) for c in cols],
+                       *dealt_by)
+
+
 def dedupe_last(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """One row per key: the last by ``order_by``, ties by all other columns.
 
-    ``max_by`` over a struct aggregates partially before the shuffle, so a hot
-    key costs one row per map partition, not one task holding the group.
+    ``max`` over a struct aggregates partially before the shuffle, so a hot
+    key costs one row per map partition, not one task holding the group. The struct
+    holds the order columns first and then the others, each once.
     """
     rest = [c for c in df.columns if c not in keys]
     row = fresh_name("row", df.columns)
-    order = F.struct(*[F.col(c) for c in [*order_by, *(c for c in rest if c not in order_by)]])
-    return (df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias(row))
-            .select(*keys, *[F.col(row)[c].alias(c) for c in rest]))
+    order = [c for c in dict.fromkeys(order_by) if c in rest]
+    whole = F.struct(*[F.col(c) for c in [*order, *(c for c in rest if c not in order)]])
+    return df.groupBy(*keys).agg(F.max(whole).alias(row)).select(*keys, *[F.col(row)[c].alias(c) for c in rest])
