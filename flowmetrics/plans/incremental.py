@@ -11,8 +11,8 @@ A run takes the staging rows ingested since the last one (a filter on
 Nothing else of the fact is read or written: the old rows come out of the touched
 buckets. The state has one row per (group, day), far fewer than items, and is
 replaced as a whole beside the one in use. The changed rows are part of that
-write, and a run starts by upserting those of the run before once more: a no-op if
-it had finished, the missing half if it had stopped between the two steps.
+write, and a run that upserted them marks the state; where the mark is missing, the
+run had stopped between the two steps, and the next starts with the missing half.
 
 A work item's age depends on the day of reading, so the stored fact keeps the
 instant an item ages from, and ``read_fact`` turns it into days.
@@ -35,6 +35,7 @@ from . import snapshot as SN
 from .fact import FACT_COLUMNS, fact_work_items
 
 ID = ["work_item_id"]
+MERGED = "MERGED"       # mark of a state whose changes are in the fact
 _TYPES = {"title": T.StringType(), "severity": T.StringType(), "tags": T.StringType(),
           "is_closed": T.BooleanType(), "is_active": T.BooleanType(), "work_item_id": T.LongType(),
           "rev": T.IntegerType(), "priority": T.IntegerType()}
@@ -53,11 +54,11 @@ STORED_COLUMNS = [c if c != "wip_age_days" else "ageing_since_utc" for c in FACT
 STORED_FACT = T.StructType([T.StructField(c, _type(c)) for c in STORED_COLUMNS])
 
 
-def stored_rows(raw: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Fact rows as stored. An age in days is NULL exactly where the item does not age."""
-    rows = fact_work_items(raw, dims, DEFAULT)
+def stored_rows(raw: DataFrame, dims: dict[str, DataFrame], keep: list[str] | None = None) -> DataFrame:
+    """Fact rows as stored, and the staging columns ``keep``. An age in days is NULL exactly where the item does not age."""
+    rows = fact_work_items(raw, dims, DEFAULT, keep=tuple(keep))
     since = F.when(F.col("wip_age_days").isNotNull(), F.coalesce("activated_date_utc", "created_date_utc"))
-    return rows.withColumn("ageing_since_utc", since).select(*STORED_COLUMNS)
+    return rows.withColumn("ageing_since_utc", since).select(*STORED_COLUMNS, *(keep or []))
 
 
 class FlowStore:
@@ -82,13 +83,14 @@ class FlowStore:
 
     def apply(self, changed: DataFrame, dims: dict[str, DataFrame]) -> None:
         """Take in changed staging rows."""
-        if self.state.exists():
-            self.fact.merge(self._changes())
-        changed = materialize(changed, "changed_items")
-        until = changed.agg(F.max("ingested_at_utc").alias("until"))
+        if self.state.exists() and not self.state.marked(MERGED):
+            self.fact.merge(self._changes(), written=True)
+        # one reading of the changed rows: their facts and how far they reach
+        written = materialize(stored_rows(changed, dims, ["ingested_at_utc"]), "changed_facts")
+        until = written.agg(F.max("ingested_at_utc").alias("until"))
         if until.first().until is None:
             return
-        new = materialize(stored_rows(changed, dims), "changed_facts")
+        new = written.drop("ingested_at_utc")
         old = self.fact.rows_of(new.select(*ID))
         minus = SN.day_events(old)
         minus = minus.select(*SN.GROUP, "day", *[(-F.col(m)).cast(t).alias(m) for m, t in SN.MEASURES.items()])
@@ -98,7 +100,8 @@ class FlowStore:
         nothing = " AND ".join(f"{m} = 0" for m in SN.MEASURES)
         state = SN.summed(parts).filter(f"NOT ({nothing})")
         self.state.write(rows=state, changes=new, until=until)
-        self.fact.merge(new)
+        self.fact.merge(new, written=True)
+        self.state.mark(MERGED)
 
     def read_fact(self, params: RunParams = DEFAULT) -> DataFrame:
         """The fact as of ``params.as_of``."""
