@@ -18,6 +18,7 @@ from ..functions.calendar import sprint_name, ts_lit
 from ..operators.batching import chunks
 from ..functions.classify import UNASSIGNED_DISPLAY, UNKNOWN_NAME, state_category, type_category
 from ..params import DEFAULT, RunParams
+from ..sources.store import materialize
 
 def export_rows(raw: DataFrame, params: RunParams = DEFAULT, project: str | None = None) -> DataFrame:
     r = raw if project is None else raw.filter(F.col("project_name") == F.lit(project))
@@ -56,7 +57,8 @@ def _written(rows: DataFrame, output_path: str, rows_per_file: int, by_project:
     file after ``rows_per_file`` rows; so a project's files do not overlap in their ids,
     and all but its last are full. Chunks are equally large, however a project's share
     of all rows is."""
-    dealt = (chunks(rows, rows_per_file, "work_item_id", ["project_name"], "_chunk")
+    # written once: dealing by range reads its input twice, and would compute the rows twice
+    dealt = (chunks(materialize(rows, "export_rows"), rows_per_file, "work_item_id", ["project_name"], "_chunk")
              .repartition("project_name", "_chunk").sortWithinPartitions("project_name", "work_item_id").drop("_chunk"))
     writer = (dealt.write.mode("overwrite").option("compression", "snappy").option("maxRecordsPerFile", rows_per_file))
     (writer.partitionBy("project_name") if by_project else writer).parquet(output_path)

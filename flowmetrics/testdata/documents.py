@@ -58,8 +58,8 @@ def refusals(projects: DataFrame) -> DataFrame:
 
 
 def land(documents: DataFrame, folder: str) -> None:
-    """Append the documents to a landing folder, one a line."""
-    documents.select("document").write.mode("append").text(folder)
+    """Append the documents to a landing folder, one a line; each task's file is compressed."""
+    documents.select("document").write.mode("append").option("compression", "gzip").text(folder)
 
 
 def id_list_documents(orders: DataFrame, page_size: int = MAX_PAGE) -> DataFrame:
