@@ -24,22 +24,40 @@ NUMERIC_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE")
 INTEGER_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT")
 
 
-def path(name: str, sub: str | None = None) -> str:
-    p = f'$["{name}"]'
+def path(name: str | None, sub: str | None = None) -> str:
+    """Path of a field of the map; of the value itself where ``name`` is None (see ``opened``)."""
+    p = "$" if name is None else f'$["{name}"]'
     return p + (f".{sub}" if sub else "")
 
 
-def _kind(v: Column, name: str) -> Column:
+def opened(v: Column, types: dict[str, str]) -> Column:
+    """The named fields of the map as a struct, each as VARIANT or as text (``types``): the map
+    is searched once for each, and what is read of a field (``name`` None) does not search it again."""
+    return F.try_variant_get(v, "$", "struct<" + ", ".join(f"`{n}`: {t}" for n, t in types.items()) + ">")
+
+
+def text_string(text: Column, v: Column, name: str) -> Column:
+    """``as_string`` of a field opened as text: only an object, whose text begins so, is looked into."""
+    return F.when(text.startswith("{"), as_string(v, name)).otherwise(text)
+
+
+def text_timestamp(text: Column, v: Column, name: str) -> Column:
+    """``as_timestamp`` of a field opened as text: the usual text is a string's, and it is zoned."""
+    usual = text.rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d+)?Z$")
+    return F.when(usual, instant(text)).when(text.isNotNull(), as_timestamp(v, name))
+
+
+def _kind(v: Column, name: str | None) -> Column:
     """Type name of the field's value (``STRING``, ``BIGINT``, ``DECIMAL(3,1)``, …)."""
-    return F.schema_of_variant(F.try_variant_get(v, path(name), "variant"))
+    return F.schema_of_variant(v if name is None else F.try_variant_get(v, path(name), "variant"))
 
 
 def _is_number(kind: Column) -> Column:
     return kind.isin(*NUMERIC_TYPES) | kind.startswith("DECIMAL")
 
 
-def _present(v: Column, name: str) -> Column:
-    got = F.try_variant_get(v, path(name), "variant")
+def present(v: Column, name: str | None) -> Column:
+    got = v if name is None else F.try_variant_get(v, path(name), "variant")
     return got.isNotNull() & ~F.is_variant_null(got)
 
 
@@ -62,12 +80,14 @@ def as_double(v: Column, name: str) -> Column:
     return F.when(_is_number(_kind(v, name)), F.try_variant_get(v, path(name), "double"))
 
 
-def as_timestamp(v: Column, name: str) -> Column:
-    s = with_offset(F.when(_kind(v, name) == "STRING", F.trim(F.try_variant_get(v, path(name), "string"))))
+def as_timestamp(v: Column, name: str | None) -> Column:
+    return instant(with_offset(F.when(_kind(v, name) == "STRING", F.trim(F.try_variant_get(v, path(name), "string")))))
+
+
+def instant(zoned: Column) -> Column:
     # parse as an instant (offsets honoured), then take its UTC wall clock from
     # the epoch microseconds: no session-zone round trip (ambiguous at DST ends)
-    instant = F.try_to_timestamp(s)
-    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), ts_lit("1970-01-01 00:00:00"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(F.try_to_timestamp(zoned)), ts_lit("1970-01-01 00:00:00"))
 
 
 def with_offset(text: Column) -> Column:
@@ -97,4 +117,4 @@ def type_error(v: Column, name: str, kind: str) -> Column:
     """TRUE when a value is present but its typed reader cannot read it: another type,
     a date that does not parse, a number the column cannot hold."""
     read = {"number": as_decimal, "timestamp": as_timestamp, "boolean": as_boolean}[kind]
-    return _present(v, name) & read(v, name).isNull()
+    return present(v, name) & read(v, name).isNull()

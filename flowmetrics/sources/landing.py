@@ -23,40 +23,44 @@ def read_pages(documents: DataFrame, column: str = "document") -> DataFrame:
 
 def map_records(records: DataFrame, ingested_at, keep: list[str] | None = None) -> DataFrame:
     """Open record → the 28 typed staging columns (and the columns ``keep``)."""
-    v = F.try_parse_json(F.col("fields"))
+    return read_records(records, ingested_at, keep).select(*RAW_COLUMNS, *(keep or []))
+
+
+def read_records(records: DataFrame, ingested_at, keep: list[str] | None = None) -> DataFrame:
+    """Open record → the 28 typed staging columns, ``bad_fields`` (see there) and the columns ``keep``."""
     unknown = F.lit("Unknown")
-    s, i, d, t = FX.as_string, FX.as_int, FX.as_decimal, FX.as_timestamp
     # fixed values: the source's field names, and the text for missing ones
+    s = lambda name: FX.text_string(_field(name), F.col("_payload"), name)
     cols = {
         "id": F.col("id"), "rev": F.col("rev"), "url": F.col("url"),
-        "project_name": F.coalesce(s(v, "System.TeamProject"), unknown),
-        "work_item_type": F.coalesce(s(v, "System.WorkItemType"), unknown),
-        "title": s(v, "System.Title"),
-        "state": F.coalesce(s(v, "System.State"), unknown),
-        "reason": s(v, "System.Reason"),
-        "assigned_to_name": FX.identity_name(v, "System.AssignedTo"),
-        "assigned_to_unique_name": FX.identity_unique(v, "System.AssignedTo"),
-        "created_by_name": FX.identity_name(v, "System.CreatedBy"),
-        "created_by_unique_name": FX.identity_unique(v, "System.CreatedBy"),
-        "created_date": t(v, "System.CreatedDate"),
+        "project_name": F.coalesce(s("System.TeamProject"), unknown),
+        "work_item_type": F.coalesce(s("System.WorkItemType"), unknown),
+        "title": s("System.Title"),
+        "state": F.coalesce(s("System.State"), unknown),
+        "reason": s("System.Reason"),
+        "assigned_to_name": FX.identity_name(_field("System.AssignedTo"), None),
+        "assigned_to_unique_name": FX.identity_unique(_field("System.AssignedTo"), None),
+        "created_by_name": FX.identity_name(_field("System.CreatedBy"), None),
+        "created_by_unique_name": FX.identity_unique(_field("System.CreatedBy"), None),
+        "created_date": _read("System.CreatedDate"),
         # a missing change date reads as the ingestion time
-        "changed_date": F.coalesce(t(v, "System.ChangedDate"), ingested_at),
-        "activated_date": t(v, "Microsoft.VSTS.Common.ActivatedDate"),
-        "closed_date": t(v, "Microsoft.VSTS.Common.ClosedDate"),
-        "state_change_date": t(v, "Microsoft.VSTS.Common.StateChangeDate"),
-        "story_points": d(v, "Microsoft.VSTS.Scheduling.StoryPoints"),
-        "original_estimate": d(v, "Microsoft.VSTS.Scheduling.OriginalEstimate"),
-        "remaining_work": d(v, "Microsoft.VSTS.Scheduling.RemainingWork"),
-        "completed_work": d(v, "Microsoft.VSTS.Scheduling.CompletedWork"),
-        "priority": i(v, "Microsoft.VSTS.Common.Priority"),
-        "severity": s(v, "Microsoft.VSTS.Common.Severity"),
-        "area_path": s(v, "System.AreaPath"),
-        "iteration_path": s(v, "System.IterationPath"),
-        "tags": s(v, "System.Tags"),
+        "changed_date": F.coalesce(_read("System.ChangedDate"), ingested_at),
+        "activated_date": _read("Microsoft.VSTS.Common.ActivatedDate"),
+        "closed_date": _read("Microsoft.VSTS.Common.ClosedDate"),
+        "state_change_date": _read("Microsoft.VSTS.Common.StateChangeDate"),
+        "story_points": _read("Microsoft.VSTS.Scheduling.StoryPoints"),
+        "original_estimate": _read("Microsoft.VSTS.Scheduling.OriginalEstimate"),
+        "remaining_work": _read("Microsoft.VSTS.Scheduling.RemainingWork"),
+        "completed_work": _read("Microsoft.VSTS.Scheduling.CompletedWork"),
+        "priority": FX.as_int(_field("Microsoft.VSTS.Common.Priority"), None),
+        "severity": s("Microsoft.VSTS.Common.Severity"),
+        "area_path": s("System.AreaPath"),
+        "iteration_path": s("System.IterationPath"),
+        "tags": s("System.Tags"),
         "fields_json": F.col("fields"),
         "ingested_at_utc": ingested_at,
     }
-    return records.select(*[cols[c].alias(c) for c in RAW_COLUMNS], *(keep or []))
+    return open_records(records).select(*[cols[c].alias(c) for c in RAW_COLUMNS], bad_fields().alias("bad_fields"), *(keep or []))
 
 
 #: Reader of each kind of field.
@@ -85,20 +89,46 @@ TYPED_FIELDS = [
 ]
 
 
+IDENTITIES = ["System.AssignedTo", "System.CreatedBy"]
+TEXT_FIELDS = ["System.TeamProject", "System.WorkItemType", "System.Title", "System.State", "System.Reason",
+               "Microsoft.VSTS.Common.Severity", "System.AreaPath", "System.IterationPath", "System.Tags"]
+
 UNREADABLE = "unreadable JSON"
 
 
-def bad_fields(fields: str = "fields") -> Column:
-    """Names of the typed fields whose value is present but cannot be read; a payload
-    that is not JSON gives ``UNREADABLE``."""
-    v = F.try_parse_json(F.col(fields))
-    broken = F.when(F.col(fields).isNotNull() & v.isNull(), F.lit(UNREADABLE))
-    return F.array_compact(F.array(broken, *[F.when(FX.type_error(v, n, k), F.lit(n)) for n, k in TYPED_FIELDS]))
+def _field(name: str) -> Column:
+    """The field of an opened record."""
+    return F.col("_open").getField(name)
+
+
+def _read(name: str) -> Column:
+    """What the typed field of an opened record reads as."""
+    return F.col(f"`_read {name}`")
+
+
+def open_records(records: DataFrame) -> DataFrame:
+    """The payload ``fields`` is parsed once, each field is looked for once and each typed one
+    read once, in projections of their own, however many columns are made of them."""
+    kinds = dict(TYPED_FIELDS)
+    text = TEXT_FIELDS + [n for n, kind in kinds.items() if kind == "timestamp"]
+    types = {n: "string" for n in text} | {n: "variant" for n in [*IDENTITIES, *kinds] if n not in text}
+    v = records.withColumn("_payload", F.try_parse_json(F.col("fields")))
+    v = v.withColumn("_open", FX.opened(F.col("_payload"), types))
+    return v.select("*", *[(FX.text_timestamp(_field(n), F.col("_payload"), n) if kind == "timestamp" else FX.as_decimal(_field(n), None))
+                           .alias(f"_read {n}") for n, kind in kinds.items()])
+
+
+def bad_fields() -> Column:
+    """Names of an opened record's typed fields whose value is present but cannot be read; a
+    payload that is not JSON gives ``UNREADABLE``."""
+    broken = F.when(F.col("fields").isNotNull() & F.col("_payload").isNull(), F.lit(UNREADABLE))
+    present = {n: _field(n).isNotNull() if kind == "timestamp" else FX.present(_field(n), None) for n, kind in TYPED_FIELDS}
+    return F.array_compact(F.array(broken, *[F.when(p & _read(n).isNull(), F.lit(n)) for n, p in present.items()]))
 
 
 def field_type_errors(records: DataFrame) -> DataFrame:
     """Records whose typed fields hold unreadable values (quarantine)."""
-    return (records.select("id", "rev", bad_fields().alias("bad_fields"), "fields")
+    return (open_records(records).select("id", "rev", bad_fields().alias("bad_fields"), "fields")
             .filter(F.size("bad_fields") > 0))
 
 

@@ -44,7 +44,7 @@ from ..operators import catalog as C
 from ..operators import watermark as WM
 from ..operators.merge import dedupe_last
 from ..schemas import CATALOG_PROJECTS, RAW_COLUMNS, RAW_WORK_ITEMS, SYNC_WATERMARKS
-from ..sources.landing import UNREADABLE, bad_fields, map_records
+from ..sources.landing import UNREADABLE, read_records
 from ..sources.store import KeyedTable, materialize, path_exists
 
 # ``fields`` is an object in the documents; a string-typed schema keeps its JSON text
@@ -67,6 +67,7 @@ RESPONSE_SCHEMA = T.StructType([
 ARRIVED = ["file_time", "file_name", "file_block"]
 ARRIVAL = [*ARRIVED, "block_row"]
 PROJECT = ["collection_name", "project_name"]
+SOURCE = ["collection_name", "requested", "status", "message", "unreadable"]       # what a response says of itself
 FORBIDDEN_STATUS, FIRST_ERROR_STATUS = 403, 400
 FORBIDDEN_MESSAGE = "403 Forbidden"
 DISABLED, OLD = "disabled", "old"
@@ -130,17 +131,21 @@ class Ingest:
             "*", F.col("_metadata.file_modification_time").alias("file_time"),
             F.col("_metadata.file_path").alias("file_name"), F.col("_metadata.file_block_start").alias("file_block"))
 
-    def _records(self, batch: DataFrame) -> DataFrame:
-        """One row per record, or per line that holds none, written once."""
+    def _records(self, batch: DataFrame, now: dt.datetime) -> DataFrame:
+        """One row per record, or per line that holds none: what it reads as, what is bad about
+        it and why a good one is skipped, if it is; written once."""
         one = batch.select(
             F.coalesce("collection", F.lit(self.collection)).alias("collection_name"), F.col("project").alias("requested"),
             "status", "message", "unreadable", (F.size(F.coalesce("value", F.array())) > 0).alias("is_record"),
             F.explode_outer("value").alias("r"), *ARRIVED).select("*", "r.*").drop("r")
+        one = one.withColumn("block_row", F.monotonically_increasing_id())
+        read = read_records(one, ts_lit(now), keep=["is_record", *SOURCE, *ARRIVAL])
         bad = F.when(F.col("is_record"), F.array_compact(F.concat(
-            F.array(F.when(F.col("id").isNull(), F.lit("id"))), bad_fields())))
+            F.array(F.when(F.col("id").isNull(), F.lit("id"))), F.col("bad_fields"))))
         bad = F.coalesce(bad, F.when(F.col("unreadable").isNotNull(), F.array(F.lit(UNREADABLE))), F.array())
-        return materialize(one.withColumn("bad_fields", bad)
-                           .withColumn("block_row", F.monotonically_increasing_id()), "landed_records")
+        read = read.withColumn("bad_fields", bad)
+        read = read.withColumn("is_bad", F.size("bad_fields") > 0)
+        return materialize(self._scoped(read), "landed_records")
 
     def _scoped(self, items: DataFrame) -> DataFrame:
         """Why a record is skipped, if it is; catalog and control table are joined by their sizes."""
@@ -161,14 +166,12 @@ class Ingest:
         if self.polling:
             self.begin_run()
         now = utc_now()
-        landed = self._records(batch)
-        (landed.filter(F.size("bad_fields") > 0)
-         .select("id", "rev", "bad_fields", F.coalesce("fields", "unreadable").alias("fields"), "collection_name")
+        landed = self._records(batch, now)
+        (landed.filter("is_bad")
+         .select("id", "rev", "bad_fields", F.coalesce("fields_json", "unreadable").alias("fields"), "collection_name")
          .write.mode("overwrite").parquet(self._quarantine_path(batch_id)))
-        good = landed.filter(F.col("is_record") & (F.size("bad_fields") == 0))
-        mapped = map_records(good, ts_lit(now), keep=["collection_name", *ARRIVAL])
-        scoped = materialize(self._scoped(mapped), "scoped_records")
-        news = scoped.filter(F.col("skip").isNull()).drop("skip")
+        scoped = landed.filter("is_record AND NOT is_bad")
+        news = scoped.filter(F.col("skip").isNull()).select(*RAW_COLUMNS, "collection_name", *ARRIVAL)
         last = materialize(dedupe_last(news, ["id"], [*self.order_by, *ARRIVAL]), "staged_records")
         self.staging.merge(last.select(*RAW_COLUMNS), newer=self.order_by or None, written=True)
         self._write_ledger(batch_id, landed, scoped, last)

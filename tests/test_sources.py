@@ -96,3 +96,33 @@ def test_batches_with_an_outlier_id_stay_even(spark):
     repeated = spark.createDataFrame([(5, "a"), (5, "a"), (7, "b"), (None, "b"), (6, None), (2, None)], "id long, p string")
     ranked = sorted((str(r.p), r._pos) for r in B.ordered_rank(repeated, "id", ["p"]).collect())
     assert ranked == [("None", 1), ("None", 2), ("a", 1), ("a", 2), ("b", 1), ("b", 2)]
+
+
+def test_a_payload_is_parsed_once(spark):
+    from flowmetrics.sources.landing import read_records
+    rec = spark.createDataFrame([(1, 1, "u", "{}")], "id long, rev int, url string, fields string")
+    read = read_records(rec, F.lit(None).cast("timestamp_ntz"))
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1 and plan.count("struct") + plan.count("StructField(System.State") >= 1
+
+
+def test_fields_read_as_text_keep_their_kind(spark):
+    """Texts that only look like an object, a date or a number, and values of other kinds."""
+    from flowmetrics.sources.landing import read_records
+    created, state, points = "System.CreatedDate", "System.State", "Microsoft.VSTS.Scheduling.StoryPoints"
+    cases = [  # payload, created date, state, points, bad fields
+        ({created: "2024-01-01T10:00:00.5Z", state: {"displayName": "D"}, points: 5}, "2024-01-01 10:00:00.5", "D", "5.00", []),
+        ({created: "2024-01-01T10:00:00+02:00", state: "{", points: "5"}, "2024-01-01 08:00:00", "{", None, [points]),
+        ({created: 20240101, state: '{"displayName":"D"}', points: True}, None, '{"displayName":"D"}', None, [created, points]),
+        ({created: "2024-01-01T10:00:00\nZ", state: {"name": "n"}, points: 1e12}, None, '{"name":"n"}', None, [created, points]),
+        ({created: None, state: [1], points: None}, None, "[1]", None, []),
+        ({created: "2024-02-30T00:00:00Z", state: None}, None, "Unknown", None, [created]),
+    ]
+    rec = spark.createDataFrame([(i, 1, "u", json.dumps(c[0])) for i, c in enumerate(cases)] + [
+        (90, 1, "u", "[1]"), (91, 1, "u", "not json"), (92, 1, "u", None)], "id long, rev int, url string, fields string")
+    rows = read_records(rec, F.lit(None).cast("timestamp_ntz")).select(
+        "id", F.col("created_date").cast("string"), "state", F.col("story_points").cast("string"), "bad_fields").collect()
+    got = {r.id: tuple(r)[1:] for r in rows}
+    assert {i: got[i] for i in range(len(cases))} == {i: c[1:] for i, c in enumerate(cases)}
+    none = (None, "Unknown", None)
+    assert got[90] == (*none, []) and got[91] == (*none, ["unreadable JSON"]) and got[92] == (*none, [])

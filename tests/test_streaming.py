@@ -275,3 +275,19 @@ def test_merge_refuses_repeated_keys(spark, tmp_dir):
     df = spark.createDataFrame([(1, "a"), (1, "b")], "id long, v string")
     with pytest.raises(ValueError):
         KeyedTable(spark, os.path.join(tmp_dir, "t"), df.schema, ["id"], 2).merge(df)
+
+
+def test_landed_records_are_read_in_one_pass(spark, tmp_dir, monkeypatch):
+    """Reading, checks and skips of a batch's records are one written table."""
+    from flowmetrics.streaming import ingest
+    written = []
+    monkeypatch.setattr(ingest, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    landing = os.path.join(tmp_dir, "landing")
+    _write(landing, "a.json", _record(1, 1), _record(None, 1), _record(2, 1, **{"System.TeamProject": "OFF"}))
+    ing = _ingest(spark, tmp_dir, landing, collection="C", catalog_root=_catalog(spark, tmp_dir, "A", "OFF", disabled=["OFF"]))
+    ing.run_available()
+    assert written == ["landed_records", "staged_records", "run_outcome"]
+    assert [r.id for r in ing.staging.read().collect()] == [1]
+    assert [r.bad_fields for r in spark.read.parquet(ing.quarantine_root).collect()] == [["id"]]
+    got = {r.project_name: (r.status, r.records, r.skipped_disabled) for r in ing.outcomes().collect() if r.project_name}
+    assert got == {"A": ("SUCCESS", 1, 0), "OFF": ("SKIPPED", 0, 1)}
