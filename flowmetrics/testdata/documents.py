@@ -38,12 +38,15 @@ def record_pages(raw: DataFrame, page_size: int = MAX_PAGE) -> DataFrame:
             .select("project_name", "batch", F.to_json(F.struct("count", "value")).alias("document")))
 
 
-def responses(records: DataFrame, collection: Column, page_size: int = MAX_PAGE) -> DataFrame:
+def responses(records: DataFrame, collection: Column, page_size: int = MAX_PAGE, fields: Column | None = None) -> DataFrame:
     """Responses as the ingest reads them: ``{collection, project, status, count, value}``
-    with ``fields`` an object. ``records``: id, rev, url, project_name, area_path, fields_json."""
-    b = id_batches(records.select("id", "rev", "url", "project_name", "fields_json", collection.alias("collection")),
-                   page_size, partition_cols=["collection", "project_name"])
-    rec = F.struct("id", "rev", "url", F.parse_json("fields_json").alias("fields"))
+    with ``fields`` an object. ``records``: id, rev, url, project_name, area_path, fields_json.
+    ``fields``: the object, made of columns of ``records`` in place of ``fields_json``; the
+    columns are dealt to the pages, and only the page is written as text."""
+    if fields is None:
+        records, fields = records.select("id", "rev", "url", "project_name", "area_path", "fields_json"), F.parse_json("fields_json")
+    b = id_batches(records.withColumn("collection", collection), page_size, partition_cols=["collection", "project_name"])
+    rec = F.struct("id", "rev", "url", fields.alias("fields"))
     page = b.groupBy("collection", "project_name", "batch").agg(
         F.count(F.lit(1)).alias("count"), F.collect_list(rec).alias("value"))
     return page.select("batch", F.to_json(F.struct(

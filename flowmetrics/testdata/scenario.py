@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import ts_lit
 from ..operators import catalog as C
 from ..schemas import CATALOG_PROJECTS
-from ..sources.adapter import fields_json
+from ..sources.adapter import fields_object
 from ..sources.store import materialize, scratch_path
 from ..streaming.ingest import Ingest
 from .documents import land, refusals, responses
@@ -43,14 +43,17 @@ def first_day(raw: DataFrame) -> DataFrame:
     none = F.lit(None).cast("timestamp_ntz")
     return (raw.filter(F.col("created_date") < ts_lit(CUTOFF)).withColumn("rev", F.lit(1))
             .withColumn("state", F.lit("New")).withColumn("changed_date", F.col("created_date"))
-            .withColumn("activated_date", none).withColumn("closed_date", none).withColumn("state_change_date", none)
-            .withColumn("fields_json", fields_json()))
+            .withColumn("activated_date", none).withColumn("closed_date", none).withColumn("state_change_date", none))
 
 
 def stale(raw: DataFrame) -> DataFrame:
     """Old revisions that arrive along with the present one."""
-    return (raw.filter(F.col("id") % 10 == 0).withColumn("rev", F.lit(0)).withColumn("state", F.lit("Stale"))
-            .withColumn("fields_json", fields_json()))
+    return raw.filter(F.col("id") % 10 == 0).withColumn("rev", F.lit(0)).withColumn("state", F.lit("Stale"))
+
+
+def answers(records: DataFrame) -> DataFrame:
+    """Responses with the records; their payload is made of the typed columns."""
+    return responses(records.drop("fields_json", "ingested_at_utc"), collection_of(), fields=fields_object())
 
 
 def two_runs(raw: DataFrame, discovered: DataFrame) -> Ingest:
@@ -60,7 +63,7 @@ def two_runs(raw: DataFrame, discovered: DataFrame) -> Ingest:
                  order_by=["rev"], buckets=8, catalog_root=f"{root}/catalog", runs_root=f"{root}/runs")
     empty = spark.createDataFrame([], CATALOG_PROJECTS)
     ing.catalog.merge(C.upsert_projects(empty, discovered, CUTOFF))
-    land(responses(first_day(raw), collection_of()), landing)
+    land(answers(first_day(raw)), landing)
     ing.run_available()
     known = materialize(ing.catalog.read(), "catalog")
     off = is_project(DISABLED, F.col("collection_name"))
@@ -68,7 +71,7 @@ def two_runs(raw: DataFrame, discovered: DataFrame) -> Ingest:
     ing.catalog.merge(known.withColumn("is_enabled", ~off).withColumn(
         "access_status", F.when(shut, F.lit(C.FORBIDDEN)).otherwise(F.col("access_status"))))
     now = raw.unionByName(stale(raw)).filter(~is_project(REFUSED, collection_of()))
-    land(responses(now, collection_of()), landing)
+    land(answers(now), landing)
     land(refusals(spark.createDataFrame([(*REFUSED, 403, "no access"), (*BROKEN, 500, BROKEN_MESSAGE)],
                                         "collection_name string, project_name string, status int, message string")), landing)
     ing.run_available()

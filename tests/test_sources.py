@@ -126,3 +126,17 @@ def test_fields_read_as_text_keep_their_kind(spark):
     assert {i: got[i] for i in range(len(cases))} == {i: c[1:] for i, c in enumerate(cases)}
     none = (None, "Unknown", None)
     assert got[90] == (*none, []) and got[91] == (*none, ["unreadable JSON"]) and got[92] == (*none, [])
+
+
+def test_responses_of_typed_columns_are_those_of_the_payload(spark):
+    from flowmetrics.sources.adapter import fields_json, fields_object
+    from flowmetrics.testdata.documents import responses
+
+    from .fixtures import raw_df
+    rows = [dict(id=i, title=f'"{i}" \u00e9', story_points=Decimal(i) / 4, remaining_work=Decimal(10 * i), priority=i, tags=None,
+                 assigned_to_unique_name=None if i % 2 else "a", area_path="A\\B") for i in range(5)]
+    raw = raw_df(spark, rows).withColumn("fields_json", fields_json())
+    texts = lambda df: sorted(r.document for r in df.collect())
+    one = F.lit("C")
+    typed = responses(raw.drop("fields_json"), one, 1, fields=fields_object())
+    assert texts(typed) == texts(responses(raw, one, 1)) and len(rows) == typed.count()
