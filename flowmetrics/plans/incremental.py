@@ -66,7 +66,7 @@ class FlowStore:
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark = spark
-        self.fact = KeyedTable(spark, f"{root}/fact_work_items", STORED_FACT, ID, buckets)
+        self.fact = KeyedTable(spark, f"{root}/fact_work_items", STORED_FACT, ID, buckets, written=True)
         self.state = SlotTable(spark, f"{root}/flow_state")
 
     def _changes(self) -> DataFrame:
@@ -84,7 +84,7 @@ class FlowStore:
     def apply(self, changed: DataFrame, dims: dict[str, DataFrame]) -> None:
         """Take in changed staging rows."""
         if self.state.exists() and not self.state.marked(MERGED):
-            self.fact.merge(self._changes(), written=True)
+            self.fact.merge(self._changes())
         # one reading of the changed rows: their facts and how far they reach
         written = materialize(stored_rows(changed, dims, ["ingested_at_utc"]), "changed_facts")
         until = written.agg(F.max("ingested_at_utc").alias("until"))
@@ -100,7 +100,7 @@ class FlowStore:
         nothing = " AND ".join(f"{m} = 0" for m in SN.MEASURES)
         state = SN.summed(parts).filter(f"NOT ({nothing})")
         self.state.write(rows=state, changes=new, until=until)
-        self.fact.merge(new, written=True)
+        self.fact.merge(new)
         self.state.mark(MERGED)
 
     def read_fact(self, params: RunParams = DEFAULT) -> DataFrame:
